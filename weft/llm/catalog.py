@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from weft.llm.lookalike import consistent_forms, inconsistent_values
 from weft.llm.termfreq import marked_terms, rare_or_common
+from weft.llm.tokenize import decode_corpus, encode_corpus
 from weft.llm.topn import top_n_per_group
 from weft.session import table
 
+#: where the public vocabularies are; nothing of them is in this repository
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+BYTE_BPE_50K = f"{TOKENIZERS}/byte_bpe_50k.json"
 FIELDS = ("business_name", "business_address")
 
 
@@ -37,10 +43,23 @@ def p6_forms(spark, sf_dir):
     return consistent_forms(table(spark, sf_dir, "train_source1"), "row_no", FIELDS).select("row_no", "field", "form", F.array_join("faults", ",").alias("faults"), "whole_script")
 
 
+def p8_ids(spark, sf_dir):
+    return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", BYTE_BPE_50K)
+
+
+def p8_roundtrip(spark, sf_dir):
+    """Documents whose text doesn't come back from its ids: none."""
+    docs = table(spark, sf_dir, "documents")
+    back = decode_corpus(encode_corpus(docs, "doc_id", "text", BYTE_BPE_50K), "doc_id", "ids", BYTE_BPE_50K)
+    pair = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("a")).join(back.select("doc_id", F.xxhash64("text").alias("b")), "doc_id", "full")
+    return pair.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("a").eqNullSafe(F.col("b"))).alias("restored"))
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_terms": p1_terms,
     "p3_found": p3_found, "p3_ranked": p3_ranked,
     "p6_found": p6_found, "p6_forms": p6_forms,
+    "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip,
 }
 
 _TERMS = """
@@ -57,6 +76,7 @@ r AS (SELECT *, cast(row_number() OVER (PARTITION BY s1_id ORDER BY rank_score D
              try_cast(split_part(target_id, '-', 2) AS bigint) DESC NULLS LAST, target_id DESC) AS int) AS rank FROM b)"""
 
 ORACLE = {
+    "p8_roundtrip": "SELECT count(*) AS documents, count(*) AS restored FROM documents",
     "p1_found": f"""WITH {_TERMS}
         SELECT field, term, 'rare' AS mark FROM c WHERE records = 1
         UNION ALL SELECT field, term, 'common' FROM c JOIN n USING (field) WHERE records * 50 > n""",
