@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from weft.llm.language import language_segments, mislabelled
+from weft.llm.leakage import leaked_items
 from weft.llm.lookalike import consistent_forms, inconsistent_values
 from weft.llm.termfreq import marked_terms, rare_or_common
 from weft.llm.tokenize import decode_corpus, encode_corpus
@@ -55,11 +57,30 @@ def p8_roundtrip(spark, sf_dir):
     return pair.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("a").eqNullSafe(F.col("b"))).alias("restored"))
 
 
+def p9_found(spark, sf_dir):
+    return p9_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p9_leaks(spark, sf_dir):
+    return leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def p10_found(spark, sf_dir):
+    found = mislabelled(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", table(spark, sf_dir, "lang_samples"))
+    return found.select("doc_id", "seg_no", "lang").distinct()
+
+
+def p10_languages(spark, sf_dir):
+    return language_segments(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "lang_samples"))
+
+
 QUERIES = {
     "p1_found": p1_found, "p1_terms": p1_terms,
     "p3_found": p3_found, "p3_ranked": p3_ranked,
     "p6_found": p6_found, "p6_forms": p6_forms,
     "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip,
+    "p9_found": p9_found, "p9_leaks": p9_leaks,
+    "p10_found": p10_found, "p10_languages": p10_languages,
 }
 
 _TERMS = """
