@@ -3,10 +3,10 @@
 Method: greedy string tiling. Texts and items are read as words without markup, case and punctuation.
 
 1. Shared-token seeds: every run of three item words is a seed. A document's seeds are joined with the
-   index of item seeds and counted per block of ``BLOCK`` words and item. A quotation of half an item
-   with one word in eight changed still shares a known number of seeds with it (each changed word
-   breaks at most three), all within a few neighbouring blocks, so blocks below that number are out and
-   none above it is.
+   index of item seeds and counted per item and band of diagonals (place in the text minus place in the
+   item). A quotation of half an item with one word in eight changed still shares a known number of
+   seeds with it (each changed word breaks at most three), all on neighbouring diagonals, so bands below
+   that number are out and none above it is.
 2. Running Karp-Rabin greedy string tiling on what is left: hashes of unmarked runs of the current
    search length find the longest common runs, which are marked and never used again, then shorter ones
    down to ``MIN_TILE`` words. The share of the item's words under tiles is its coverage, which reordered
@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 
 from weft.llm.markup import running_text
 
-SEED, BLOCK, MIN_TILE, MIN_ITEM = 3, 64, 3, 8
+SEED, BAND, MIN_TILE, MIN_ITEM = 3, 16, 3, 8
 MAX_ITEM_WORDS = 2_000_000
-#: items counted side by side
-ITEMS_AT_ONCE = 256
+#: items and bands counted side by side
+ITEMS_AT_ONCE, BANDS_AT_ONCE = 256, 20_000
 _WORDS = re.compile(r"[^\W_]+")
 
 
@@ -155,20 +155,19 @@ class ItemIndex:
         n = np.array([len(w) for w in self.words], np.int64)
         half = np.ceil(n * share).astype(np.int64)
         edits = half // one_in + 1
+        self.lengths, self.longest = n, int(n.max(initial=0))
         self.least = np.maximum(1, half - SEED + 1 - SEED * edits)
-        self.reach = np.ceil((half + edits) / BLOCK).astype(np.int64) + 1 if len(n) else n
+        self.reach = -(-edits // BAND) + 1
         self.base = len(self.vocabulary) + 1
-        pairs = {(self.key(w[k : k + SEED]), i) for i, w in enumerate(self.words) for k in range(len(w) - SEED + 1)}
-        ordered = sorted(pairs)
-        keys = np.array([k for k, _ in ordered], np.int64)
-        self.items = np.array([i for _, i in ordered], np.int64)
+        ordered = sorted((self.key(w[k : k + SEED]), i, k) for i, w in enumerate(self.words) for k in range(len(w) - SEED + 1))
+        keys, self.items, self.places = np.array(ordered, np.int64).reshape(-1, 3).T
         self.seeds, self.starts = np.unique(keys, return_index=True)
         self.counts = np.diff(np.append(self.starts, len(keys)))
 
     def key(self, words: Sequence[int]) -> int:
         return (words[0] * self.base + words[1]) * self.base + words[2]
 
-    def candidates(self, ids: np.ndarray, doc_starts: np.ndarray, doc_lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    def candidates(self, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(document, item, first word, end word) of the places with enough seeds. ids: all documents' words."""
         if len(ids) < SEED or not len(self.seeds):
             return
@@ -178,53 +177,44 @@ class ItemIndex:
         seed = np.minimum(np.searchsorted(self.seeds, keys), len(self.seeds) - 1)
         hit = self.seeds[seed] == keys
         at, seed = at[hit], seed[hit]
-        if not len(at):
-            return
-        doc = np.searchsorted(doc_starts, at, side="right") - 1
-        inside = at + SEED <= doc_starts[doc] + doc_lengths[doc]
-        at, seed, doc = at[inside], seed[inside], doc[inside]
-        blocks = np.maximum(1, -(-doc_lengths // BLOCK))
-        first = np.cumsum(blocks) - blocks
-        block = first[doc] + (at - doc_starts[doc]) // BLOCK
-        pair = np.unique(block * len(self.seeds) + seed)
-        block, seed = np.divmod(pair, len(self.seeds))
-        total = int(blocks.sum())
-        owner = np.repeat(np.arange(len(blocks)), blocks)
         reps = self.counts[seed]
-        offsets = np.repeat(self.starts[seed] - (np.cumsum(reps) - reps), reps) + np.arange(int(reps.sum()))
-        items, rows = self.items[offsets], np.repeat(block, reps)
+        hits = np.repeat(self.starts[seed] - (np.cumsum(reps) - reps), reps) + np.arange(int(reps.sum()))
+        item = self.items[hits]
+        band = (np.repeat(at, reps) - self.places[hits] + self.longest) // BAND
+        total = (len(ids) + self.longest) // BAND + 1
         for lo in range(0, len(self.ids), ITEMS_AT_ONCE):
             width = min(ITEMS_AT_ONCE, len(self.ids) - lo)
-            mine = slice(None) if width == len(self.ids) else (items >= lo) & (items < lo + width)
-            # one row per block, so that neighbouring rows can be added
-            for b0 in range(0, total, 50_000):
-                b1 = min(total, b0 + 50_000 + int(self.reach.max()))
-                r, it = rows[mine], items[mine]
-                sel = (r >= b0) & (r < b1)
-                table = np.bincount((r[sel] - b0) * width + it[sel] - lo, minlength=(b1 - b0) * width).reshape(b1 - b0, width)
-                for k in np.unique(self.reach[lo : lo + width]):
-                    cols = np.flatnonzero(self.reach[lo : lo + width] == k)
+            reach = self.reach[lo : lo + width]
+            for b0 in range(0, total, BANDS_AT_ONCE):
+                b1 = min(total, b0 + BANDS_AT_ONCE + int(reach.max()))
+                mine = (band >= b0) & (band < b1) & (item >= lo) & (item < lo + width)
+                table = np.bincount((band[mine] - b0) * width + item[mine] - lo, minlength=(b1 - b0) * width).reshape(b1 - b0, width)
+                for k in np.unique(reach):
+                    cols = np.flatnonzero(reach == k)
                     near = table[:, cols].copy()
                     for j in range(1, int(k)):
                         near[:-j] += table[j:, cols]
-                    yes_b, yes_c = np.nonzero(near[: 50_000] >= self.least[lo + cols][None, :])
-                    yield from self._places(yes_b + b0, lo + cols[yes_c], int(k), owner, first, doc_lengths)
-
-    def _places(self, block: np.ndarray, item: np.ndarray, reach: int, owner: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        order = np.lexsort((block, owner[block], item))
-        open_: list[int] | None = None
-        for b, i in zip(block[order].tolist(), item[order].tolist()):
-            d = int(owner[b])
-            start = (b - int(first[d])) * BLOCK
-            end = min(int(lengths[d]), start + reach * BLOCK)
-            if open_ and open_[:2] == [d, i] and start <= open_[3] and open_[3] - open_[2] < 8 * reach * BLOCK:
-                open_[3] = end
-                continue
-            if open_:
-                yield tuple(open_)
-            open_ = [d, i, start, end]
-        if open_:
-            yield tuple(open_)
+                    yes_b, yes_c = np.nonzero(near[:BANDS_AT_ONCE] >= self.least[lo + cols][None, :])
+                    yield from self._places(yes_b + b0, lo + cols[yes_c], int(k), starts, lengths)
+
+    def _places(self, band: np.ndarray, item: np.ndarray, reach: int, starts: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        order = np.lexsort((band, item))
+        merged: list[list[int]] = []
+        for b, i in zip(band[order].tolist(), item[order].tolist()):
+            lo = b * BAND - self.longest
+            hi = lo + reach * BAND + int(self.lengths[i])
+            if merged and merged[-1][0] == i and lo <= merged[-1][1] + reach * BAND:
+                merged[-1][1:] = [lo, hi, merged[-1][3]]
+            else:
+                merged.append([i, lo, hi, lo])
+        for i, _, hi, lo in merged:
+            first = max(0, int(np.searchsorted(starts, max(lo, 0), side="right")) - 1)
+            for d in range(first, len(starts)):
+                if starts[d] >= hi:
+                    break
+                a, b = max(0, lo - int(starts[d])), min(int(lengths[d]), hi - int(starts[d]))
+                if b - a >= SEED:
+                    yield d, i, a, b
 
 
 def _passes(items: DataFrame, key: str, text: str) -> Iterator[list]:
