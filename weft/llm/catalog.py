@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from weft.llm.language import language_segments, mislabelled
 from weft.llm.leakage import leaked_items
 from weft.llm.lookalike import consistent_forms, inconsistent_values
+from weft.llm.places import place_pairs
 from weft.llm.termfreq import marked_terms, rare_or_common
 from weft.llm.tokenize import decode_corpus, encode_corpus
 from weft.llm.topn import top_n_per_group
+from weft.llm.variants import variant_pairs
 from weft.session import table
 
 #: where the public vocabularies are; nothing of them is in this repository
@@ -37,6 +39,22 @@ def p3_ranked(spark, sf_dir):
     return top_n_per_group(table(spark, sf_dir, "candidate_pairs"), "s1_id", "target_id", "rank_score", 5)
 
 
+def p4_found(spark, sf_dir):
+    return p4_variants(spark, sf_dir).select("id_a", "id_b").distinct()
+
+
+def p4_variants(spark, sf_dir):
+    return variant_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_name")
+
+
+def p7_found(spark, sf_dir):
+    return p7_places(spark, sf_dir).select("id_a", "id_b")
+
+
+def p7_places(spark, sf_dir):
+    return place_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_address")
+
+
 def p6_found(spark, sf_dir):
     return inconsistent_values(table(spark, sf_dir, "train_source1"), "row_no", FIELDS)
 
@@ -77,7 +95,9 @@ def p10_languages(spark, sf_dir):
 QUERIES = {
     "p1_found": p1_found, "p1_terms": p1_terms,
     "p3_found": p3_found, "p3_ranked": p3_ranked,
+    "p4_found": p4_found, "p4_variants": p4_variants,
     "p6_found": p6_found, "p6_forms": p6_forms,
+    "p7_found": p7_found, "p7_places": p7_places,
     "p8_ids": p8_ids, "p8_roundtrip": p8_roundtrip,
     "p9_found": p9_found, "p9_leaks": p9_leaks,
     "p10_found": p10_found, "p10_languages": p10_languages,
