@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from weft.llm.language import language_segments, mislabelled
 from weft.llm.leakage import leaked_items
 from weft.llm.lookalike import consistent_forms, inconsistent_values
+from weft.llm.matching import match_lists
 from weft.llm.places import place_pairs
 from weft.llm.termfreq import marked_terms, rare_or_common
 from weft.llm.tokenize import decode_corpus, encode_corpus
@@ -31,6 +32,17 @@ def p1_terms(spark, sf_dir):
     return t.select("field", "term", "occurrences", "records", "last_record", F.array_join("marks", ",").alias("marks"))
 
 
+def p2_found(spark, sf_dir):
+    known = table(spark, sf_dir, "train_matches").select(F.col("source1_entity_id").alias("s1_id"))
+    return p2_matches(spark, sf_dir).where("confidence >= 0.5").join(known, "s1_id", "left_anti").select("s1_id", "target_id")
+
+
+def p2_matches(spark, sf_dir):
+    columns = ("entity_id", "business_name", "business_address", "country")
+    lists = [table(spark, sf_dir, f"train_source{k}").select(*columns) for k in (1, 2, 3)]
+    return match_lists(lists[0], lists[1].unionByName(lists[2]), table(spark, sf_dir, "train_matches"))
+
+
 def p3_found(spark, sf_dir):
     return top_n_per_group(table(spark, sf_dir, "candidate_pairs"), "s1_id", "target_id", "rank_score", 5).select("s1_id", "target_id")
 
@@ -94,6 +106,7 @@ def p10_languages(spark, sf_dir):
 
 QUERIES = {
     "p1_found": p1_found, "p1_terms": p1_terms,
+    "p2_found": p2_found, "p2_matches": p2_matches,
     "p3_found": p3_found, "p3_ranked": p3_ranked,
     "p4_found": p4_found, "p4_variants": p4_variants,
     "p6_found": p6_found, "p6_forms": p6_forms,
