@@ -147,6 +147,18 @@ def name_keys(name: Name) -> list[str]:
     return sorted({"".join(name.core), "".join(sorted(name.core)), "".join(heard), "".join(sorted(heard))} - {""})
 
 
+def heard_keys(name: Name) -> list[str]:
+    """The own words as sounded, in order and sorted."""
+    heard = [sound(w) for w in name.core]
+    return sorted({"".join(heard), "".join(sorted(heard))} - {""})
+
+
+def bone_keys(name: Name, shortest: int = 5) -> list[str]:
+    """The consonants of the own words as sounded; none where they are few."""
+    bones = "".join(c for w in name.core for c in sound(w) if c not in "aeiou")
+    return [bones] if len(bones) >= shortest else []
+
+
 def same_name(a: Name, b: Name, radius: int = 3) -> bool:
     """Spellings of one organisation's name: same numbers, same line of business, own words alike."""
     if a.numbers and b.numbers and a.numbers != b.numbers:

@@ -1,8 +1,9 @@
 """Spellings of one name under different identifiers.
 
-Method: metric-space partitioning. Names are reduced to keys (their own words without legal form, line
-of business and given name; as written and as sounded; in order and sorted), and all keys within a
-Levenshtein radius R of each other are found exactly:
+Method: metric-space partitioning. Names are reduced to keys, their own words without legal form, line
+of business and given name: as sounded, in order and sorted, for radius ``RADIUS``, and their consonants
+for radius ``BONE_RADIUS``. All keys of a kind within the Levenshtein radius R of each other are found
+exactly:
 
 1. every key is assigned to the nearest of ``pivots`` pivot keys, its home cell;
 2. for a pair within R whose homes are i and j, d(x, p_j) <= d(x, p_i) + 2R by the triangle inequality,
@@ -30,26 +31,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.names import folded, name_keys, parse_name, plain, same_name
+from weft.llm.names import bone_keys, folded, heard_keys, parse_name, plain, same_name
 from weft.session import cut
 
-RADIUS, PIVOTS = 2, 16
+RADIUS, BONE_RADIUS, PIVOTS = 2, 1, 16
 #: keys looked at when pivots are chosen; pivots change the cost, never the result
 PIVOT_SAMPLE = 1000
 
 
 def name_forms(names: DataFrame, column: str) -> DataFrame:
-    """raw, norm, fold, keys of every distinct non-null name."""
+    """raw, norm, fold, keys, bones of every distinct non-null name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = b.column(0).to_pylist()
             norm = [" ".join(plain(v).split()) for v in raw]
-            cols = [b.column(0), pa.array(norm, pa.string()), pa.array([folded(v) for v in raw], pa.string()), pa.array([name_keys(parse_name(n)) for n in norm], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "fold", "keys"])
+            parsed = [parse_name(n) for n in norm]
+            cols = [b.column(0), pa.array(norm, pa.string()), pa.array([folded(v) for v in raw], pa.string()), *[pa.array([f(p) for p in parsed], pa.list_(pa.string())) for f in (heard_keys, bone_keys)]]
+            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "fold", "keys", "bones"])
 
     distinct = names.select(F.col(column).cast("string").alias("raw")).where(F.col("raw").isNotNull()).distinct()
-    return distinct.mapInArrow(run, "raw string, norm string, fold string, keys array<string>").where(F.col("fold") != "")
+    return distinct.mapInArrow(run, "raw string, norm string, fold string, keys array<string>, bones array<string>").where(F.col("fold") != "")
 
 
 def choose_pivots(keys: DataFrame, n: int) -> list[str]:
@@ -98,18 +100,23 @@ def radius_pairs(keys: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) ->
     return close.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
 
 
-def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, pivots: int = PIVOTS) -> DataFrame:
-    """id_a, id_b, name_a, name_b: records whose names are spellings of one another."""
-    named = df.select(F.col(key).cast("string").alias("id"), F.col(name).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
-    forms = cut(name_forms(named, "raw"))
-    by_key = forms.select("norm", "fold", F.explode("keys").alias("key")).distinct()
-    keys = by_key.select("key").distinct()
-    pairs = cut(radius_pairs(keys, radius, pivots))
+def _candidates(forms: DataFrame, kind: str, radius: int, pivots: int) -> DataFrame:
+    """x, y: names with keys of one kind within the radius."""
+    by_key = forms.select("norm", "fold", F.explode(kind).alias("key")).distinct()
+    keys = cut(by_key.select("key").distinct())
+    pairs = radius_pairs(keys, radius, pivots)
     met = pairs.unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b")))
     left = by_key.select(F.col("key").alias("a"), F.col("norm").alias("x"), F.col("fold").alias("fx"))
     right = by_key.select(F.col("key").alias("b"), F.col("norm").alias("y"), F.col("fold").alias("fy"))
     cand = met.join(left, "a").join(right, "b").where(F.col("fx") != F.col("fy"))
-    cand = cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS) -> DataFrame:
+    """id_a, id_b, name_a, name_b: records whose names are spellings of one another."""
+    named = df.select(F.col(key).cast("string").alias("id"), F.col(name).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
+    forms = cut(name_forms(named, "raw"))
+    cand = _candidates(forms, "keys", radius, pivots).unionByName(_candidates(forms, "bones", bone_radius, pivots)).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
