@@ -97,7 +97,8 @@ def line_word(word: str) -> frozenset[str]:
     if vowels <= 1 and len(stem) <= 7:
         found |= {w for w in LINES if w[0] == stem[0] and len(stem) <= 0.75 * len(w) and _inside(stem, w)}
     if not found and len(word) >= 5:
-        found = {w for w in LINES if len(w) >= 6 and edits(word, w, 2) <= (2 if len(w) >= 8 else 1)}
+        letters = set(word)
+        found = {w for w in LINES if len(w) >= 6 and abs(len(w) - len(word)) <= 2 and len(letters ^ set(w)) <= 4 and edits(word, w, 2) <= (2 if len(w) >= 8 else 1)}
     return frozenset(found)
 
 
