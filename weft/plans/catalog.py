@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weft.plans import skew
+from weft.plans import linkage, oracle, skew
 
-FLAGSHIP = "p5_found"
+FLAGSHIP = "candidate_rank"
 
-QUERIES = {**skew.QUERIES}
-ORACLE = {**skew.ORACLE}
+QUERIES = {**linkage.QUERIES, **skew.QUERIES}
+ORACLE = {**oracle.ORACLE, **skew.ORACLE}
