@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.markup import running_text
+from weft.llm.markup import paragraphs, running_text
 
 PIECE = 4096
 MAX_SAMPLES = 20_000
@@ -119,8 +119,8 @@ class WordModel:
             if self.script[lang] != script:
                 out.append(-1e9)
                 continue
-            spelled = math.exp(max(-200.0, self._spelled(lang, word)))
-            out.append(math.log(0.7 * self.words[lang].get(word, 0) / self.total[lang] + 0.3 * spelled))
+            spelled, seen = math.log(0.3) + self._spelled(lang, word), self.words[lang].get(word, 0)
+            out.append(math.log(0.7 * seen / self.total[lang] + math.exp(spelled)) if seen else spelled)
         out.append(NONE_PER_CHAR * (len(word) + 1))
         a = np.array(out)
         return np.maximum(a - a.max(), -CLIP)
@@ -159,7 +159,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
 
 def _paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """Number, size in words and the scored words of each paragraph of running text."""
-    for number, part in enumerate(running_text(text).lower().split("\n\n"), 1):
+    for number, part in enumerate(paragraphs(text.lower()), 1):
         words = _WORDS.findall(part)
         if not words:
             continue

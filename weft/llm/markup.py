@@ -21,22 +21,32 @@ _QUOTES = re.compile(r"'{2,}")
 _ASIDE = re.compile(r"^[ \t]*(?:[*#:;=|!]|\{\||\{\{|\}\}).*$", re.M)
 
 
+#: stands for a pair of line feeds, so that removing a line can't make one
+_BREAK = "\x1e"
+
+
 def _gap(m: re.Match) -> str:
-    return " " + "\n\n" * m[0].count("\n\n") + " "
+    return " " + _BREAK * m[0].count(_BREAK) + " "
+
+
+def paragraphs(text: str) -> list[str]:
+    """The running text of each piece between pairs of line feeds, in their order; pieces of markup are blank."""
+    return _stripped(text.replace(_BREAK, " ").replace("\n\n", f"\n{_BREAK}\n"), True).split(_BREAK)
 
 
 def running_text(text: str, lines: bool = True) -> str:
-    """The text without markup. Paragraph breaks stay, also those inside what is taken out.
+    """The text without markup. ``lines=False`` keeps the lines of lists and headings."""
+    return _stripped(text, lines)
+
 
-    ``lines=False`` keeps the lines of lists and headings.
-    """
+def _stripped(text: str, lines: bool) -> str:
     if "<" in text:
         if "<!--" in text:
             text = _COMMENT.sub(_gap, text)
         text = _TAG.sub(" ", _REF.sub(_gap, text))
     if "{{" in text:
         if "{{{" in text:
-            text = _PARAMETER.sub("", text)
+            text = _PARAMETER.sub(" ", text)
         while True:
             text, n = _TEMPLATE.subn(_gap, text)
             if not n:
@@ -53,4 +63,4 @@ def running_text(text: str, lines: bool = True) -> str:
         text = _ENTITY.sub(" ", text)
     if "''" in text:
         text = _QUOTES.sub("", text)
-    return _ASIDE.sub("", text) if lines else text
+    return _ASIDE.sub(" ", text) if lines else text
