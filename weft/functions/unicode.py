@@ -33,7 +33,7 @@ def sample_normal(value: str, address: bool) -> str:
 def _each(f):
     def over(s: pd.Series) -> pd.Series:
         known = {v: f(v) for v in s.dropna().unique()}
-        return s.map(known)
+        return pd.Series([None if v is None else known.get(v) for v in s], dtype=object)
 
     return over
 
