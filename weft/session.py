@@ -3,11 +3,28 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once per context; they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weft_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="weft-package-"), "weft.zip")  # the driver serves it to the executors
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._weft_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
