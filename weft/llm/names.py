@@ -32,16 +32,18 @@ NICKNAMES = {
     "sue": "susannah", "suzie": "susannah", "susan": "susannah", "susanna": "susannah", "susie": "susannah", "suzy": "susannah", "kathy": "katherine", "kate": "katherine", "katie": "katherine", "kathie": "katherine", "cathy": "katherine",
     "bob": "robert", "rob": "robert", "bobby": "robert", "robbie": "robert", "bill": "william", "will": "william", "billy": "william", "willy": "william", "mike": "michael", "mick": "michael", "mickey": "michael",
     "tom": "thomas", "tommy": "thomas", "maggie": "margaret", "meg": "margaret", "peggy": "margaret", "marge": "margaret", "greta": "margaret", "alex": "alexander", "sandy": "alexander", "al": "alexander", "sasha": "alexander",
-    "ed": "edward", "eddie": "edward", "ted": "edward", "ned": "edward", "charlie": "charles", "chuck": "charles", "chas": "charles", "dick": "richard", "rick": "richard", "rich": "richard", "richie": "richard",
+    "ed": "edward", "eddie": "edward", "ted": "edward", "ned": "edward", "charlie": "charles", "chuck": "charles", "dick": "richard", "rick": "richard", "rich": "richard", "richie": "richard",
     "jim": "james", "jimmy": "james", "jamie": "james", "liz": "elizabeth", "beth": "elizabeth", "betty": "elizabeth", "lizzie": "elizabeth", "eliza": "elizabeth", "bess": "elizabeth", "betsy": "elizabeth", "laxmi": "lakshmi",
     "raj": "rajesh", "raju": "rajesh", "kris": "krishnan", "krish": "krishnan", "krishna": "krishnan", "krishnen": "krishnan",
-    "joe": "joseph", "jack": "john", "johnny": "john", "dave": "david", "dan": "daniel", "steve": "stephen", "tony": "anthony", "pat": "patricia", "jenny": "jennifer", "nick": "nicholas", "andy": "andrew", "matt": "matthew", "chris": "christopher", "sam": "samuel", "ben": "benjamin",
+    "wm": "william", "thos": "thomas", "chas": "charles", "jas": "james", "robt": "robert", "edw": "edward", "geo": "george", "joe": "joseph", "jack": "john", "johnny": "john", "dave": "david", "dan": "daniel", "steve": "stephen", "tony": "anthony", "pat": "patricia", "jenny": "jennifer", "nick": "nicholas", "andy": "andrew", "matt": "matthew", "chris": "christopher", "sam": "samuel", "ben": "benjamin",
 }
 GIVEN = frozenset(NICKNAMES.values())
 
 _TOKEN = re.compile(r"[^\W_]+")
 _DOTTED = re.compile(r"\b(?:[^\W\d_]\.){2,}(?:[^\W\d_]\b)?")
 _APOSTROPHE = re.compile(r"(?<=[^\W\d_])['’`´](?=[^\W\d_])")
+_SLASHED = re.compile(r"(?<=\b[^\W\d_])/(?=[^\W\d_]\b)")  # S/A
+_PRIVATE = re.compile(r"\(?\bp\b[.)]*(?=\s+(?:limited|ltd)\b)")  # (P) Ltd
 _FOLDS = str.maketrans({"ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d", "ł": "l", "ı": "i", "ð": "d", "þ": "th"})
 
 
@@ -112,6 +114,7 @@ class Name(NamedTuple):
 @lru_cache(100_000)
 def parse_name(value: str) -> Name:
     text = _DOTTED.sub(lambda m: m[0].replace(".", ""), _APOSTROPHE.sub("", plain(value)))
+    text = _PRIVATE.sub(" ", _SLASHED.sub("", text))
     core, line, numbers, given = [], [], [], ""
     for w in _TOKEN.findall(text):
         if w.isdigit():
