@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import similarity as S
 from weft.functions import text as T
+from weft.session import cut
 
 KINDS = {"name_toks": 1, "addr_toks": 2, "name_grams": 3, "addr_grams": 4}
 COMPOUND = 8
@@ -131,11 +132,16 @@ def top_candidates(scored: DataFrame, config: BlockingConfig) -> DataFrame:
     return scored.withColumn("position", F.row_number().over(order)).where(F.col("position") <= config.top_k)
 
 
-def stages(rec: DataFrame, config: BlockingConfig) -> dict[str, DataFrame]:
-    """Every stage of candidate generation by name, as lazy plans over one table of records."""
+def stages(rec: DataFrame, config: BlockingConfig, materialize: bool = False) -> dict[str, DataFrame]:
+    """Every stage of candidate generation by name, as lazy plans over one table of records.
+
+    The join of blocking keys uses the rare values three times; ``materialize`` writes them once (at most
+    36 rows a record), so that the ranking per record isn't repeated.
+    """
     values = long_values(rec)
     df = document_frequency(values.where(F.col("source") == 1))
     rare = rare_values(values, df, config)
+    rare = cut(rare) if materialize else rare
     keys = blocking_keys(rec, rare, config)
     hits = block_hits(keys, config)
     ev = evidence(hits)

@@ -36,7 +36,8 @@ def truth(spark, sf):
 
 def stage(name):
     """A stage of candidate generation; the records are prepared once for all its uses."""
-    return lambda spark, sf: blocking.stages(cut(rec(spark, sf)), CONFIG)[name]
+    joins = name in ("hits", "evidence", "kept", "ranked", "top")
+    return lambda spark, sf: blocking.stages(cut(rec(spark, sf)), CONFIG, materialize=joins)[name]
 
 
 # ingest, samples, hashing
@@ -166,7 +167,7 @@ def candidate_topk(spark, sf):
 
 def _top(spark, sf):
     r = cut(rec(spark, sf))
-    return r, cut(blocking.stages(r, CONFIG)["top"])
+    return r, cut(blocking.stages(r, CONFIG, materialize=True)["top"])
 
 
 def candidate_lists(spark, sf):
