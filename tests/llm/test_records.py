@@ -48,6 +48,7 @@ def test_same_name(a, b, yes):
         ("83 Nasakel Avenue, Lokoville, Harrow Plains", "nr. 83 nasakel avenue, lokoville, hp", True),
         ("Rua Sezuten, 40, sala 13, Pifolândia - SX, 50363-373", "R Sezuten 40 sala 13 50363-373", True),
         ("1026 Vorapun Street, Lameton, HP 80009", "1026 Vorapun Street, Mine Springs, AE", False),
+        ("1547 Fesoban Boulevard, Subeville, TC", "No. 1547 Fesoban Boul., HP 70955", False),
         ("513 Dikamul Highway, Voro Falls, HP 30142", "432 Dikamul Highway, Voro Falls, HP 30142", False),
         ("5 Lofi Lane, Suite 1, Voro Falls 30142", "5 Lofi Lane, Suite 2, Voro Falls 30142", False),
         ("5 North Lofi Lane, Voro Falls", "5 South Lofi Lane, Voro Falls", False),

@@ -217,6 +217,7 @@ class Place(NamedTuple):
     roads: tuple[str, ...]
     sides: tuple[str, ...]
     words: tuple[str, ...]  # street, town and region in the order given
+    codes: tuple[str, ...] = ()  # words of two letters: regions
 
 
 @lru_cache(100_000)
@@ -234,7 +235,7 @@ def parse_address(value: str) -> Place:
             parts.extend(_DIGITS_LETTERS.findall(p))
         else:
             parts.append(p)
-    houses, weak, units, roads, sides, words = [], [], [], [], [], []
+    houses, weak, units, roads, sides, words, codes = [], [], [], [], [], [], []
     before = last = ""  # what a coming number would be: u unit, h house, # either
     for p in parts:
         last, previous = p, last
@@ -261,12 +262,14 @@ def parse_address(value: str) -> Place:
                     roads.append(ROADS[p])
             elif p not in LANDMARKS and len(p) > 2:
                 words.append(p)
+            elif p not in LANDMARKS and len(p) == 2:
+                codes.append(p)
     if not post and len(houses) > 1 and _CYRILLIC.search(text) and (four := [h for h in houses if len(h) == 4]):
         post = four[-1]
         houses.remove(post)
     for n in weak:
         (units if houses else houses).append(n)
-    return Place(post, tuple(sorted(houses)), tuple(sorted(units)), tuple(sorted(set(roads))), tuple(sorted(set(sides))), tuple(words))
+    return Place(post, tuple(sorted(houses)), tuple(sorted(units)), tuple(sorted(set(roads))), tuple(sorted(set(sides))), tuple(words), tuple(sorted(set(codes))))
 
 
 def alike(a: str, b: str) -> bool:
@@ -325,4 +328,6 @@ def same_place(a: Place, b: Place) -> bool:
         return False
     if a.post and b.post:
         return True
+    if a.codes and b.codes and not set(a.codes) & set(b.codes):
+        return False
     return not (left and right)
