@@ -176,6 +176,23 @@ def candidate_lists(spark, sf):
     return model.id_lists(master(spark, sf), pairs, "candidate_entity_ids", unique=False)
 
 
+def candidate_counters(spark, sf):
+    """The run's counters in one row: pairs and true pairs before and after top-k, recall, averages, widest target."""
+    r = cut(rec(spark, sf))
+    st = blocking.stages(r, CONFIG, materialize=True)
+    ranked = cut(st["ranked"])
+    pairs = labels.truth_pairs(truth(spark, sf))
+    own = labels.owners(pairs)
+    count = lambda df, *more: df.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("true"), *more).first()
+    before = count(labels.labelled(ranked.select("s1", "source", "num"), own))
+    after = count(labels.labelled(blocking.top_candidates(ranked, CONFIG).select("s1", "source", "num"), own))
+    total = labels.true_counts(truth(spark, sf)).agg(F.sum("n_true").alias("n")).first().n or 0
+    widest = st["evidence"].groupBy("source", "num").count().agg(F.max("count").alias("n")).first().n or 0
+    masters = r.where("source = 1").count()
+    row = (before.n, before.true or 0, after.n, after.true or 0, total, round((after.true or 0) / total, 6) if total else 0.0, round(after.n / masters, 6) if masters else 0.0, widest)
+    return spark.createDataFrame([row], "pre_pairs bigint, pre_true bigint, final_pairs bigint, positives_found bigint, true_total bigint, candidate_recall double, avg_candidates double, max_raw_per_target bigint")
+
+
 # labels and features
 def owner_last_wins(spark, sf):
     return labels.owners(labels.truth_pairs(truth(spark, sf)))
@@ -216,6 +233,19 @@ def class_weights(spark, sf):
     return w.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("weight"), 6).alias("mass"))
 
 
+def final_fit_rows(spark, sf):
+    """Rows of the final fit: every labelled positive and all retrieved negatives of both folds, weighted to the class masses of the validation fit."""
+    r, top = _top(spark, sf)
+    known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
+    own = labels.owners(labels.truth_pairs(truth(spark, sf)))
+    mined = cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True))
+    masses = labels.fitting_sample(mined).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
+    positives = features.pair_features(labels.positive_pairs(truth(spark, sf), r), r, neutral_hits=True).withColumn("label", F.lit(1))
+    both = cut(positives.unionByName(mined.where("label = 0")).select("s1_id", "target_id", "label", "retrieval_hits"))
+    weighted = labels.class_weights(both, positive_mass=float(masses.pos), negative_mass=float(masses.neg))
+    return weighted.select("s1_id", "target_id", "label", "retrieval_hits", F.round("weight", 6).alias("weight"))
+
+
 # evaluation over all labelled entities
 def _validation(spark, sf):
     f = cut(_features(spark, sf, neutral=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
@@ -326,6 +356,21 @@ def gbt_scores(spark, sf):
     return model.tree_scores(f, baseline, nodes).select("s1_id", "target_id", "fold", "label", F.round("score", 6).alias("score"))
 
 
+def experiments(spark, sf):
+    """The three rules and both learned matchers at their best thresholds on the validation fold."""
+    f = cut(_features(spark, sf, neutral=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
+    fit, held = labels.fitting_sample(f), f.where("fold = 1")
+    counts = labels.true_counts(truth(spark, sf)).where(validation_fold(F.col("s1")) == 1)
+    intercept, weights = model.fit_logistic(fit)
+    baseline, nodes = model.fit_trees(fit, iterations=20, min_rows=10)
+    scored = cut(model.tree_scores(model.logistic_scores(held, intercept, weights).withColumnRenamed("score", "logistic"), baseline, nodes).withColumnRenamed("score", "trees"))
+    predicted = evaluate.rules()
+    for name, column in (("D_logistic_optimized", "logistic"), ("E_boosted_trees", "trees")):
+        best = evaluate.best_threshold(evaluate.threshold_scan(scored.select("s1", "label", F.col(column).alias("score")), counts)).first()
+        predicted[name] = F.col(column) >= F.lit(best.threshold if best is not None else float("inf"))
+    return evaluate.experiments(scored, counts, predicted).select("experiment", *[F.round(c, 6).alias(c) for c in _METRICS])
+
+
 def final_matches(spark, sf):
     """Fit on the labelled pairs, find the threshold on the validation fold, score all candidates."""
     r, top = _top(spark, sf)
@@ -351,11 +396,11 @@ QUERIES = {
     "token_df_name": _df_of(1), "token_df_address": _df_of(2), "gram_df_name": _df_of(3), "gram_df_address": _df_of(4),
     "rare_tokens": _rare((1, 2)), "rare_grams": _rare((3, 4)),
     "block_exact_name": _block(1), "block_exact_address": _block(2), "block_rare_token": _block(3, 4), "block_rare_gram": _block(5, 6), "block_compound": _block(7, 8),
-    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists,
-    "owner_last_wins": owner_last_wins, "label_pairs": label_pairs, "pair_features": pair_features, "all_positive_features": all_positive_features, "negative_downsample": negative_downsample, "class_weights": class_weights,
+    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists, "candidate_counters": candidate_counters,
+    "owner_last_wins": owner_last_wins, "label_pairs": label_pairs, "pair_features": pair_features, "all_positive_features": all_positive_features, "negative_downsample": negative_downsample, "class_weights": class_weights, "final_fit_rows": final_fit_rows,
     "candidate_stats": candidate_stats, "rules_abc_metrics": rules_abc_metrics, "fbeta_by_entity": fbeta_by_entity, "macro_by_country": macro_by_country, "macro_by_multiplicity": macro_by_multiplicity,
     "threshold_scan": threshold_scan, "best_threshold": best_threshold,
     "audit_missing": audit_missing, "audit_countries": audit_countries, "audit_duplicates": audit_duplicates, "match_histogram": match_histogram, "origin_classes": origin_classes,
     "reservoir_first_n": reservoir_first_n, "noise_pairs": noise_pairs, "noise_sample_means": noise_sample_means,
-    "logistic_scores": logistic_scores, "gbt_scores": gbt_scores, "final_matches": final_matches,
+    "logistic_scores": logistic_scores, "gbt_scores": gbt_scores, "experiments": experiments, "final_matches": final_matches,
 }

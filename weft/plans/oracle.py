@@ -212,6 +212,14 @@ ORACLE = {
     "candidate_rank": _with(_BLOCK[:13], "SELECT s1, source, num, hits, round(name_dice, 6) AS name_dice, round(addr_dice, 6) AS addr_dice, round(rank_score::double, 5) AS rank_score FROM ranked"),
     "candidate_topk": _with(_BLOCK[:14], "SELECT s1, source, num, position FROM pos WHERE position <= 3"),
     "candidate_lists": _with(_BLOCK, _lists("topk", "candidate_entity_ids")),
+    "candidate_counters": _with([*_BLOCK, _TRUTH], """, lab AS (SELECT p.*, coalesce((own.owner = p.s1)::int, 0) AS label FROM pos p LEFT JOIN own ON own.source = p.source AND own.num = p.num),
+        c AS (SELECT count(*) AS pre_pairs, sum(label)::bigint AS pre_true, count(*) FILTER (position <= 50) AS final_pairs, (sum(label) FILTER (position <= 50))::bigint AS positives_found FROM lab)
+        SELECT c.*, (SELECT sum(n_true) FROM tc)::bigint AS true_total, round(positives_found::double / (SELECT sum(n_true) FROM tc), 6) AS candidate_recall,
+               round(final_pairs::double / (SELECT count(*) FROM rec WHERE source = 1), 6) AS avg_candidates, (SELECT max(n) FROM (SELECT count(*) AS n FROM ev GROUP BY source, num)) AS max_raw_per_target FROM c""").replace("\n, lab AS", ", lab AS"),
+    "final_fit_rows": _with(_LABEL, """, m AS (SELECT count(*) FILTER (label = 1)::double AS p, count(*) FILTER (label = 0)::double AS n FROM feat WHERE fold = 0 AND (label = 1 OR num % 4 = 0)),
+        r AS (SELECT 'S1-' || o.owner AS s1_id, 'S' || o.source || '-' || o.num AS target_id, 1 AS label FROM own o JOIN rec a ON a.source = 1 AND a.num = o.owner JOIN rec b ON b.source = o.source AND b.num = o.num
+              UNION ALL SELECT s1_id, target_id, 0 FROM feat WHERE label = 0)
+        SELECT s1_id, target_id, label, 0.5::double AS retrieval_hits, round(CASE WHEN label = 1 THEN m.p ELSE m.n END / count(*) OVER (PARTITION BY label), 6) AS weight FROM r, m""").replace("\n, m AS", ", m AS"),
     "owner_last_wins": _with([_TRUTH], "SELECT source, num, owner FROM own"),
     "label_pairs": _with([*_BLOCK, _TRUTH], "SELECT p.s1, p.source, p.num, coalesce((own.owner = p.s1)::int, 0) AS label FROM topk p LEFT JOIN own ON own.source = p.source AND own.num = p.num"),
     "pair_features": _with(_LABEL, f"SELECT s1_id, target_id, fold, label, {', '.join(FEATURES)} FROM feat"),
