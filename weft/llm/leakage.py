@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.markup import running_text
 
-SEED, BAND, MIN_TILE, MIN_ITEM = 3, 16, 3, 8
+SEED, BAND, MIN_TILE, MIN_ITEM = 3, 8, 3, 8
 MAX_ITEM_WORDS = 2_000_000
 #: items and bands counted side by side
 ITEMS_AT_ONCE, BANDS_AT_ONCE = 256, 20_000
