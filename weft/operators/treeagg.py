@@ -34,6 +34,14 @@ def tree_rounds(chunks: int, fan_in: int) -> int:
     return max(1, math.ceil(math.log(max(chunks, 2), fan_in) - 1e-9))
 
 
+def input_chunks(df: DataFrame) -> int:
+    """Input splits to expect, from the planner's size estimate; nothing is executed."""
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    return max(1, min(size // max(split, 1) + 1, 1 << 30))
+
+
 def tree_aggregate(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,11 +54,11 @@ def tree_aggregate(
     """Aggregate ``aggs`` (name, kind, column) per ``keys``; kinds: count, sum, min, max.
 
     A chunk is at most ``chunk_rows`` consecutive rows of one input split. ``chunks`` estimates their
-    number (default: the input splits); it decides only how many rounds are planned, never the result.
+    number (default: from the planner's size estimate); it decides only how many rounds are planned, never the result.
     """
     if fan_in < 2:
         raise ValueError("fan_in must be at least 2")
-    rounds = tree_rounds(chunks or df.rdd.getNumPartitions(), fan_in)
+    rounds = tree_rounds(chunks or input_chunks(df), fan_in)
     position = F.monotonically_increasing_id()  # split number in the high bits, row in the low 33
     chunk = F.xxhash64(F.shiftright(position, 33), F.floor(position.bitwiseAND((1 << 33) - 1) / F.lit(chunk_rows)))
     rows = df.select(
