@@ -126,13 +126,22 @@ def test_places_against_all_pairs(spark):
             a = a[:k] + a[k + 1 :] if not a[k].isdigit() else a
         data.append((f"S1-{i}", "n", a, "US"))
     data += [("S1-900", "n", None, "US"), ("S1-901", "n", "", "US"), ("S1-902", "n", "nowhere", "US"), ("S1-903", "n", "nowhere", "US"), ("S1-904", "n", "7 " + "w" * 9000 + " Lane", "US"), ("S1-905", "n", "7 " + "w" * 9000 + " Ln", "US")]
-    got = set(rows(place_pairs(records(spark, data), "entity_id", "business_address", similarity=0.01), "id_a", "id_b"))
+    got = set(rows(place_pairs(records(spark, data), "entity_id", "business_address", similarity=0.01, slack=0), "id_a", "id_b"))
     parsed = {r[0]: (r[2], parse_address(r[2])) for r in data if r[2]}
     want = {tuple(sorted((a, b))) for a, b in itertools.combinations(parsed, 2) if parsed[a][0] == parsed[b][0] or same_place(parsed[a][1], parsed[b][1])}
     assert got == want
     assert place_pairs(records(spark, data).limit(0), "entity_id", "business_address").count() == 0
 
 
+def test_pairs_through_a_third(spark):
+    data = [("S1-1", "Tufadir Vakafu Systems", "446 Pozrien Boul., Runo Springs", "US"), ("S1-2", "Tudadr Vakafu Systems", "446 Poziren Boulevard, Runo Springs", "US"), ("S1-3", "Tufadir Vakafi Systms Inc", "446 Poziern Boulevard, Runo Springs", "US"), ("S1-4", "Tufadir Vakafu Foods", "447 Poziren Boulevard, Runo Springs", "US")]
+    df = records(spark, data)
+    found = rows(variant_pairs(df, "entity_id", "business_name").select("id_a", "id_b").distinct(), "id_a", "id_b")
+    assert found == [("S1-1", "S1-2"), ("S1-1", "S1-3"), ("S1-2", "S1-3")]
+    found = rows(place_pairs(df, "entity_id", "business_address", similarity=0.01), "id_a", "id_b")  # rarity means little in four rows
+    assert found == [("S1-1", "S1-2"), ("S1-1", "S1-3"), ("S1-2", "S1-3")]
+
+
 def brute_marginals(edges):
     """Exact marginals: each t at most one s, each s at most one place."""
     total, hit = 0.0, [0.0] * len(edges)

@@ -146,9 +146,9 @@ def sound(word: str) -> str:
 
 
 def name_keys(name: Name) -> list[str]:
-    """Keys of a name for the radius join: its own words as they stand and in order of the alphabet, as written and as sounded."""
+    """Keys a name is compared by: its own words as they stand, reversed and in order of the alphabet, as written and as sounded."""
     heard = [sound(w) for w in name.core]
-    return sorted({"".join(name.core), "".join(sorted(name.core)), "".join(heard), "".join(sorted(heard))} - {""})
+    return sorted({"".join(order) for words in (list(name.core), heard) for order in (words, words[::-1], sorted(words))} - {""})
 
 
 def heard_keys(name: Name) -> list[str]:
@@ -163,8 +163,11 @@ def bone_keys(name: Name, shortest: int = 5) -> list[str]:
     return [bones] if len(bones) >= shortest else []
 
 
-def same_name(a: Name, b: Name, radius: int = 3) -> bool:
-    """Spellings of one organisation's name: same numbers, same line of business, own words alike."""
+def same_name(a: Name, b: Name, radius: int = 3, share: int = 5) -> bool:
+    """Spellings of one organisation's name: same numbers, same line of business, own words alike.
+
+    Own words may differ by ``radius`` edits, and by one in ``share`` of their letters at most.
+    """
     if a.numbers and b.numbers and a.numbers != b.numbers:
         return False
     if a.line and b.line:
@@ -178,7 +181,7 @@ def same_name(a: Name, b: Name, radius: int = 3) -> bool:
     ka, kb = name_keys(a), name_keys(b)
     if not ka or not kb:
         return ka == kb
-    most = min(radius, max(1, min(len(ka[0]), len(kb[0])) // 5))
+    most = min(radius, max(1, min(len(ka[0]), len(kb[0])) // share))
     if any(edits(x, y, most) <= most for x in ka for y in kb):
         return True
     # the given name run together with the words, or one of them an unknown given name
@@ -272,21 +275,21 @@ def parse_address(value: str) -> Place:
     return Place(post, tuple(sorted(houses)), tuple(sorted(units)), tuple(sorted(set(roads))), tuple(sorted(set(sides))), tuple(words), tuple(sorted(set(codes))))
 
 
-def alike(a: str, b: str) -> bool:
+def alike(a: str, b: str, slack: int = 0) -> bool:
     """Two words that are one, mistyped, cut short or differently spelled."""
     if a == b:
         return True
     short, long = sorted((a, b), key=len)
     if len(short) >= 4 and long.startswith(short):
         return True
-    most = 2 if len(short) >= 6 else 1 if len(short) >= 4 else 0
+    most = 2 + slack if len(short) >= 6 else 1 + slack if len(short) >= 4 else 0
     return bool(most) and edits(a, b, most) <= most
 
 
-def _unmatched(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[str], list[str], int]:
+def _unmatched(a: tuple[str, ...], b: tuple[str, ...], slack: int = 0) -> tuple[list[str], list[str], int]:
     left, right, same = [], list(b), 0
     for w in a:
-        hit = next((x for x in right if x == w), None) or next((x for x in right if alike(w, x)), None)
+        hit = next((x for x in right if x == w), None) or next((x for x in right if alike(w, x, slack)), None)
         if hit is None:
             left.append(w)
         else:
@@ -295,7 +298,7 @@ def _unmatched(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[str], list[
     for one, other in ((left, right), (right, left)):  # words run together or apart
         for w in list(one):
             for i in range(len(other) - 1):
-                if alike(w, other[i] + other[i + 1]):
+                if alike(w, other[i] + other[i + 1], slack):
                     one.remove(w)
                     del other[i : i + 2]
                     same += 1
@@ -307,8 +310,8 @@ def _unmatched(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[list[str], list[
     return left, right, same
 
 
-def same_place(a: Place, b: Place) -> bool:
-    """No part that both give is different; what only one gives doesn't matter."""
+def same_place(a: Place, b: Place, slack: int = 0) -> bool:
+    """No part that both give is different; what only one gives doesn't matter. ``slack``: further edits allowed in a word."""
     if a.post and b.post and a.post != b.post:
         return False
     if not a.houses or not b.houses or a.houses != b.houses:
@@ -323,7 +326,7 @@ def same_place(a: Place, b: Place) -> bool:
         return False
     if a.roads and b.roads and not set(a.roads) & set(b.roads):
         return False
-    left, right, same = _unmatched(a.words, b.words)
+    left, right, same = _unmatched(a.words, b.words, slack)
     if not same:
         return False
     if a.post and b.post:

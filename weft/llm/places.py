@@ -8,7 +8,9 @@ gram. House-number compatibility is part of the index key, so posting lists are
 gram) and stay short. What meets is verified: cosine similarity, then house number, unit, postcode,
 street and town, none of which may differ where both addresses give it.
 
-Distinct addresses are compared, not records; records come back by an equi-join on their address.
+Two addresses that both denote one place with a third are a pair as well, if they don't contradict each
+other with up to ``SLACK`` further edits in a word. Distinct addresses are compared, not records; records
+come back by an equi-join on their address.
 
 Defined results
     * null and empty addresses, and addresses without a word or a number, take part in no pair;
@@ -27,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.names import parse_address, plain, same_place
+from weft.llm.variants import two_steps
 from weft.session import cut
 
 GRAM, SIMILARITY = 4, 0.25
+SLACK = 2
 
 
 def grams(text: str) -> list[str]:
@@ -87,8 +91,8 @@ def candidates(forms: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(side("i", "x"), "i").join(side("j", "y"), "j").select("x", "y", "xg", "xw", "yg", "yw")
 
 
-def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY) -> DataFrame:
-    """id_a, id_b, similarity: records whose addresses denote one place."""
+def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY, slack: int = SLACK) -> DataFrame:
+    """id_a, id_b, similarity: records whose addresses denote one place (0.0: through a third address)."""
     placed = df.select(F.col(key).cast("string").alias("id"), F.col(address).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(address_forms(placed, "raw"))
     texts = forms.select("norm", "houses", "grams").dropDuplicates(["norm"])
@@ -104,7 +108,16 @@ def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SI
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["x", "y", "similarity"])
 
-    same = candidates(texts, similarity).mapInArrow(run, "x string, y string, similarity double")
+    same = cut(candidates(texts, similarity).mapInArrow(run, "x string, y string, similarity double"))
+
+    def bridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [same_place(parse_address(x), parse_address(y), slack) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    if slack:
+        ordered = same.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+        same = same.unionByName(two_steps(ordered).mapInArrow(bridge, "x string, y string").withColumn("similarity", F.lit(0.0)))
     alike = forms.select(F.col("norm").alias("x"), F.col("norm").alias("y"), F.lit(1.0).alias("similarity")).distinct()
     ids = placed.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
     both = same.unionByName(alike).join(ids.select(F.col("norm").alias("x"), F.col("id").alias("p")), "x").join(ids.select(F.col("norm").alias("y"), F.col("id").alias("q")), "y").where(F.col("p") != F.col("q"))

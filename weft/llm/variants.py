@@ -13,7 +13,9 @@ exactly:
 
 Cells are join keys, never tasks: a cell may hold any number of keys. Names, not records, are compared;
 records come back by an equi-join on their name. Key pairs are then verified on the whole names (same
-numbers and line of business, given names compatible, own words alike).
+numbers and line of business, given names compatible, own words alike). Two names that both belong to a
+third are a pair as well, if they don't contradict each other and differ by no more than ``BRIDGED`` edits:
+two mistyped forms of one name can be farther apart than either is from the name itself.
 
 Defined results
     * null and empty names take part in no pair, neither do names without letters and digits;
@@ -35,6 +37,7 @@ from weft.llm.names import bone_keys, folded, heard_keys, parse_name, plain, sam
 from weft.session import cut
 
 RADIUS, BONE_RADIUS, PIVOTS = 2, 1, 16
+BRIDGED = 6
 #: keys looked at when pivots are chosen; pivots change the cost, never the result
 PIVOT_SAMPLE = 1000
 
@@ -112,18 +115,33 @@ def _candidates(forms: DataFrame, kind: str, radius: int, pivots: int) -> DataFr
     return cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
-def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS) -> DataFrame:
+def _verified(pairs: DataFrame, radius: int, share: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [same_name(parse_name(x), parse_name(y), radius, share) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return pairs.mapInArrow(run, "x string, y string")
+
+
+def two_steps(pairs: DataFrame) -> DataFrame:
+    """x, y (x < y) that are no pair themselves but both paired with a third."""
+    both = pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    met = both.select(F.col("x").alias("m"), F.col("y").alias("x")).join(both.select(F.col("x").alias("m"), "y"), "m").where(F.col("x") < F.col("y"))
+    return met.select("x", "y").distinct().join(pairs.select("x", "y"), ["x", "y"], "left_anti")
+
+
+def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS, bridged: int = BRIDGED) -> DataFrame:
     """id_a, id_b, name_a, name_b: records whose names are spellings of one another."""
     named = df.select(F.col(key).cast("string").alias("id"), F.col(name).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(name_forms(named, "raw"))
     cand = _candidates(forms, "keys", radius, pivots).unionByName(_candidates(forms, "bones", bone_radius, pivots)).distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = [same_name(parse_name(x), parse_name(y)) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    same = cand.mapInArrow(run, "x string, y string")
+    same = cut(_verified(cand, 3, 5))
+    if bridged:
+        folds = forms.select("norm", "fold").distinct()
+        steps = two_steps(same).join(folds.select(F.col("norm").alias("x"), F.col("fold").alias("fx")), "x").join(folds.select(F.col("norm").alias("y"), F.col("fold").alias("fy")), "y").where(F.col("fx") != F.col("fy"))
+        same = same.unionByName(_verified(steps.select("x", "y"), bridged, 2))
     ids = named.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
     both = same.join(ids.select(F.col("norm").alias("x"), F.col("id").alias("p")), "x").join(ids.select(F.col("norm").alias("y"), F.col("id").alias("q")), "y").where(F.col("p") != F.col("q"))
     first = F.col("p") < F.col("q")
