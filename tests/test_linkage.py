@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from weft.operators import audit, blocking, evaluate, features, labels, model, records
 from weft.operators.blocking import BlockingConfig
+from weft.plans import linkage
 from weft.sources import files
 from weft.streaming.targets import merge_top, score_batch, score_stream
 
@@ -105,6 +106,16 @@ def test_entities_without_pairs_count(spark):
     assert evaluate.choose_model({"logistic": (0.5, 1.0), "trees": (0.5, 2.0)}) == ("trees", 2.0)
 
 
+def test_a_whole_run_keeps_what_a_large_list_makes_frequent(spark, tmp_path):
+    """1003 masters hold every word and trigram of the name, 3 of them in the target's country."""
+    lists = {1: [(i, f"S1-{i}", "Zuvok Nimet", f"{i} road", "FR" if i < 3 else "US") for i in range(1003)], 2: [(1, "S2-1", "Zuvok Nimett", "", "FR")], 3: []}
+    for k, data in lists.items():
+        spark.createDataFrame(data, RAW).write.parquet(str(tmp_path / f"train_source{k}.parquet"))
+    listed = lambda q: [r for r in rows(q(spark, str(tmp_path)), "source1_entity_id", "candidate_entity_ids") if r[1]]
+    assert listed(linkage.full_candidate_lists) == [("S1-0", "S2-1"), ("S1-1", "S2-1"), ("S1-2", "S2-1")]
+    assert linkage.FULL == BlockingConfig.full()
+
+
 def test_models(spark, rec):
     base = {f: 0.0 for f in features.FEATURES}
     data = [(f"S1-{i}", f"S2-{i}", i % 5 == 0, int(i % 3 == 0), *[(i % 3 == 0) * 1.0 + (i % 7) / 20 if f == "best_field" else base[f] for f in features.FEATURES]) for i in range(120)]

@@ -12,6 +12,8 @@ from weft.operators.blocking import BlockingConfig
 from weft.session import cut, table
 
 CONFIG = BlockingConfig()
+#: limits of a whole inference run; CONFIG's are those of the training stage and of the stages' SQL
+FULL = BlockingConfig.full()
 
 
 def raw(spark, sf, k):
@@ -169,12 +171,20 @@ def _top(spark, sf):
     return r, cut(blocking.stages(r, CONFIG)["top"])
 
 
-def candidate_lists(spark, sf):
-    top = stage("top")(spark, sf)
+def _lists(spark, sf, top):
     pairs = top.select(T.entity_id(F.lit(1), F.col("s1")).alias("s1_id"), T.entity_id(F.col("source"), F.col("num")).alias("target_id"))
     return model.id_lists(master(spark, sf), pairs, "candidate_entity_ids", unique=False)
 
 
+def candidate_lists(spark, sf):
+    return _lists(spark, sf, stage("top")(spark, sf))
+
+
+def full_candidate_lists(spark, sf):
+    """The candidates that ``final_matches`` scores."""
+    return _lists(spark, sf, blocking.stages(cut(rec(spark, sf)), FULL)["top"])
+
+
 def candidate_counters(spark, sf):
     """The run's counters in one row: pairs and true pairs before and after top-k, recall, averages, widest target."""
     r = cut(rec(spark, sf))
@@ -371,19 +381,19 @@ def experiments(spark, sf):
 
 
 def final_matches(spark, sf):
-    """Fit on the labelled pairs, find the threshold on the validation fold, score all candidates."""
+    """Fit on the labelled pairs, find the threshold on the validation fold, score all candidates of a whole run."""
     r, top = _top(spark, sf)
     known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
     own = labels.owners(labels.truth_pairs(truth(spark, sf)))
-    f = cut(features.pair_features(top, r, own, neutral_hits=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
-    fit = f.join(known, "s1", "left_semi")
+    fit = cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
     intercept, weights = model.fit_logistic(labels.fitting_sample(fit))
-    scored = model.logistic_scores(f, intercept, weights).withColumn("score", F.round("score", 6))
+    score = lambda f: model.logistic_scores(f, intercept, weights).withColumn("score", F.round("score", 6))
     counts = labels.true_counts(truth(spark, sf)).withColumn("fold", validation_fold(F.col("s1"))).where("fold = 1").select("s1", "n_true")
-    held = scored.where("fold = 1").join(known, "s1", "left_semi").select("s1", "label", "score")
+    held = score(fit.where("fold = 1")).select("s1", "label", "score")
     found = evaluate.best_threshold(evaluate.threshold_scan(held, counts)).first()
     threshold = found.threshold if found is not None else float("inf")
-    return model.final_matches(master(spark, sf), scored.select("s1_id", "target_id", "score"), threshold)
+    every = features.pair_features(blocking.stages(r, FULL)["top"], r, neutral_hits=True)
+    return model.final_matches(master(spark, sf), score(every).select("s1_id", "target_id", "score"), threshold)
 
 
 QUERIES = {
@@ -395,7 +405,7 @@ QUERIES = {
     "token_df_name": _df_of(1), "token_df_address": _df_of(2), "gram_df_name": _df_of(3), "gram_df_address": _df_of(4),
     "rare_tokens": _rare((1, 2)), "rare_grams": _rare((3, 4)),
     "block_exact_name": _block(1), "block_exact_address": _block(2), "block_rare_token": _block(3, 4), "block_rare_gram": _block(5, 6), "block_compound": _block(7, 8),
-    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists, "candidate_counters": candidate_counters,
+    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists, "full_candidate_lists": full_candidate_lists, "candidate_counters": candidate_counters,
     "owner_last_wins": owner_last_wins, "label_pairs": label_pairs, "pair_features": pair_features, "all_positive_features": all_positive_features, "negative_downsample": negative_downsample, "class_weights": class_weights, "final_fit_rows": final_fit_rows,
     "candidate_stats": candidate_stats, "rules_abc_metrics": rules_abc_metrics, "fbeta_by_entity": fbeta_by_entity, "macro_by_country": macro_by_country, "macro_by_multiplicity": macro_by_multiplicity,
     "threshold_scan": threshold_scan, "best_threshold": best_threshold,
