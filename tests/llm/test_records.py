@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from weft.llm.matching import fit_prior, grade, match_lists, propagate
-from weft.llm.names import edits, folded, parse_address, parse_name, same_name, same_place, sound
+from weft.llm.names import edits, folded, gate_keys, parse_address, parse_name, same_name, same_place, sound
 from weft.llm.places import place_pairs
 from weft.llm.variants import radius_pairs, variant_pairs
 
@@ -193,6 +193,41 @@ def test_grades():
     assert grade(("Vidu Pharmacy", "5 Lofi Lane, Voro"), ("Vidu Cafe", "5 Lofi Lane, Voro")) is None
 
 
+def test_gate_keys_lose_no_spelling():
+    rnd = random.Random(3)
+    # a letter can't be guessed from its neighbours here, so grams meet only where they survive
+    letters = "abdefgijklmnoprstuvx"
+    met = 0
+    for _ in range(6000):
+        x = "".join(rnd.sample(letters, rnd.randrange(2, 19)))
+        y = x
+        for _ in range(rnd.randrange(1, 4)):
+            i = rnd.randrange(len(y))
+            y = rnd.choice([y[:i] + y[i + 1 : i + 2] + y[i] + y[i + 2 :], y[:i] + y[i + 1 :], y[:i] + rnd.choice(letters) + y[i:]])
+            if not y:
+                break
+        p, q = parse_name(x), parse_name(y)
+        if y and same_name(p, q):
+            met += 1
+            assert set(gate_keys(p)) & set(gate_keys(q)), (x, y)
+    assert met > 2000
+    for x, y in (("Gosavi Cafe", "Gosvai Cafe"), ("Gekadul Mart", "Geakdul Mart"), ("abdefgijkl", "abedfgjikl"), ("12", "12"), ("Krishnan Bagope", "krishnanbagope")):
+        assert same(x, y) and set(gate_keys(parse_name(x))) & set(gate_keys(parse_name(y)))
+
+
+def test_candidates_without_a_common_gram(spark, monkeypatch):
+    from weft.llm import matching
+
+    forms = lambda *data: matching.record_forms(spark.createDataFrame(data, "n string, a string"), "n", "a").coalesce(1).cache()
+    found = lambda a, b: {(r.x, r.y) for r in matching.candidate_forms(a, b).join(a.select(F.col("form").alias("form_a"), F.col("name").alias("x")), "form_a").join(b.select(F.col("form").alias("form_b"), F.col("name").alias("y")), "form_b").collect()}
+    a = forms(("Gekadul Mart", "Plot No. 278 Fadekor Drive Zafupur Suryadesh 710233"), ("Tumix Foods", "5 Lofi Lane, Kazo 38398"))
+    b = forms(("Geakdul Mart", "#278 FADEKOR DRIVE, ZAFUPUR"), ("Vadoger Foods", "5 Lofi Lane, Kazo"))
+    assert found(a, b) == {("Gekadul Mart", "Geakdul Mart"), ("Tumix Foods", "Vadoger Foods")}
+    monkeypatch.setattr(matching, "HOT", 0)
+    b = forms(("Geakdul Mart", "278 Fadekor Drive, Zafupur 710233"))
+    assert found(a, b) == {("Gekadul Mart", "Geakdul Mart")}
+
+
 def test_matching(spark):
     master = records(spark, [
         ("S1-1", "Tumix Tudimimux Foods", "14 Mabeno Highway, Kazo Falls, TC 38398", "US"), ("S1-2", "Gosavi Cafe", "14 Mabeno Highway, Kazo Falls, TC 38398", "US"),

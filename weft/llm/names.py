@@ -163,6 +163,44 @@ def bone_keys(name: Name, shortest: int = 5) -> list[str]:
     return [bones] if len(bones) >= shortest else []
 
 
+def _left_out(key: str, n: int) -> set[str]:
+    """The key with up to ``n`` letters left out."""
+    out = {key}
+    for _ in range(n):
+        out |= {k[:i] + k[i + 1 :] for k in out for i in range(len(k))}
+    return out
+
+
+def gate_keys(name: Name) -> list[str]:
+    """Keys of which any two names that ``same_name`` accepts share one.
+
+    An edit breaks at most q + 1 of the L - q + 1 q-grams of a key (a swap does), so with k edits one is left
+    where L - q + 1 > k (q + 1): 3-grams for 7, 11 and 15 letters and 1, 2 and 3 edits. Shorter keys have,
+    besides, what is left of them without as many letters, which edits and swaps can't tell apart; of 10
+    letters only the swaps of the 3rd and 7th with the next break every 3-gram, and the others stay.
+    """
+    keys = name_keys(name)
+    if not keys:
+        return ["="]
+    most = min(3, max(1, len(keys[0]) // 5))
+    if name.given:  # may be run together with the words
+        keys = sorted({*keys, *name_keys(Name((name.given, *name.core), "", (), ()))})
+    out = set()
+    for k in keys:
+        out |= {k[i : i + 3] for i in range(max(1, len(k) - 2))}
+        if len(k) <= 6:
+            out |= {f"1{d}" for d in _left_out(k, 1)}
+        if most >= 2 and len(k) <= 9:
+            out |= {f"2{d}" for d in _left_out(k, 2)}
+        if most >= 2 and len(k) == 10:
+            out.add(f"={k[:2]}{k[4:6]}{k[8:]}")
+        if most == 3 and len(k) <= 10:
+            out |= {f"3{d}" for d in _left_out(k, 3)}
+        elif most == 3 and len(k) <= 14:
+            out |= {k[i : i + 2] for i in range(len(k) - 1)}
+    return sorted(out)
+
+
 def same_name(a: Name, b: Name, radius: int = 3, share: int = 5) -> bool:
     """Spellings of one organisation's name: same numbers, same line of business, own words alike.
 
