@@ -228,6 +228,14 @@ def test_candidates_without_a_common_gram(spark, monkeypatch):
     assert found(a, b) == {("Gekadul Mart", "Geakdul Mart")}
 
 
+def test_no_address_and_a_name_at_many_places(spark):
+    """Nine lines of business share the own words; only one bearer fits the record without an address."""
+    lines = ["Bakery", "Optics", "Cafe", "Pharmacy", "Bank", "Hotel", "Clinic", "Laundry", "Toys", "Dairy"]
+    master = records(spark, [(f"S1-{i}", f"Vadoger Kelunax {x}", f"{i + 1} Lofi Lane, Voro Falls, TC 38111", "US") for i, x in enumerate(lines)])
+    found = match_lists(master, records(spark, [("S2-1", "Vadoger Kelunax Bakery", None, "US")]), spark.createDataFrame([], "source1_entity_id string, matched_entity_ids string"))
+    assert rows(found.where("confidence >= 0.5"), "s1_id", "target_id") == [("S1-0", "S2-1")]
+
+
 def test_matching(spark):
     master = records(spark, [
         ("S1-1", "Tumix Tudimimux Foods", "14 Mabeno Highway, Kazo Falls, TC 38398", "US"), ("S1-2", "Gosavi Cafe", "14 Mabeno Highway, Kazo Falls, TC 38398", "US"),
