@@ -116,6 +116,20 @@ def test_a_whole_run_keeps_what_a_large_list_makes_frequent(spark, tmp_path):
     assert linkage.FULL == BlockingConfig.full()
 
 
+@pytest.mark.parametrize("kind", ["logistic", "trees"])
+def test_the_chosen_model_is_refitted_on_all_labelled(spark, monkeypatch, kind):
+    fits = []
+    for name in ("fit_logistic", "fit_trees"):
+        real = getattr(model, name)
+        monkeypatch.setattr(model, name, lambda rows, *, weight=None, real=real, name=name, **k: fits.append((name, weight, rows.groupBy("label").count().orderBy("label").collect())) or real(rows, weight=weight, **k))
+    monkeypatch.setattr(linkage, "TREES", {"iterations": 2})
+    monkeypatch.setattr(evaluate, "choose_model", lambda found: (kind, 0.0) if set(found) == {"logistic", "trees"} else None)
+    matches = linkage.final_matches(spark, DATA).cache()
+    assert matches.count() == linkage.master(spark, DATA).count() and matches.where("matched_entity_ids <> ''").count()
+    assert [f[:2] for f in fits] == [("fit_logistic", None), ("fit_trees", None), (f"fit_{kind}", "weight")]
+    assert fits[2][2] == linkage.final_fit_rows(spark, DATA).groupBy("label").count().orderBy("label").collect() != fits[0][2]
+
+
 def test_models(spark, rec):
     base = {f: 0.0 for f in features.FEATURES}
     data = [(f"S1-{i}", f"S2-{i}", i % 5 == 0, int(i % 3 == 0), *[(i % 3 == 0) * 1.0 + (i % 7) / 20 if f == "best_field" else base[f] for f in features.FEATURES]) for i in range(120)]

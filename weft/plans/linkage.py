@@ -14,6 +14,8 @@ from weft.session import cut, table
 CONFIG = BlockingConfig()
 #: limits of a whole inference run; CONFIG's are those of the training stage and of the stages' SQL
 FULL = BlockingConfig.full()
+#: boosted trees as the reference fits them
+TREES = {"iterations": 180, "learning_rate": 0.08, "min_rows": 40}
 
 
 def raw(spark, sf, k):
@@ -242,16 +244,24 @@ def class_weights(spark, sf):
     return w.groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("weight"), 6).alias("mass"))
 
 
-def final_fit_rows(spark, sf):
-    """Rows of the final fit: every labelled positive and all retrieved negatives of both folds, weighted to the class masses of the validation fit."""
-    r, top = _top(spark, sf)
+def _mined(spark, sf, r, top):
     known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
     own = labels.owners(labels.truth_pairs(truth(spark, sf)))
-    mined = cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True))
+    return cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True))
+
+
+def _final_rows(spark, sf, r, mined):
+    """Features and weight of every labelled positive and all retrieved negatives of both folds."""
     masses = labels.fitting_sample(mined).agg(F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")).first()
     positives = features.pair_features(labels.positive_pairs(truth(spark, sf), r), r, neutral_hits=True).withColumn("label", F.lit(1))
-    both = cut(positives.unionByName(mined.where("label = 0")).select("s1_id", "target_id", "label", "retrieval_hits"))
-    weighted = labels.class_weights(both, positive_mass=float(masses.pos), negative_mass=float(masses.neg))
+    both = cut(positives.unionByName(mined.where("label = 0")))
+    return labels.class_weights(both, positive_mass=float(masses.pos), negative_mass=float(masses.neg))
+
+
+def final_fit_rows(spark, sf):
+    """Rows of the final fit: every labelled positive and all retrieved negatives of both folds, weighted to the class masses of the validation fit."""
+    r, top = _top(spark, sf)
+    weighted = _final_rows(spark, sf, r, _mined(spark, sf, r, top))
     return weighted.select("s1_id", "target_id", "label", "retrieval_hits", F.round("weight", 6).alias("weight"))
 
 
@@ -380,18 +390,28 @@ def experiments(spark, sf):
     return evaluate.experiments(scored, counts, predicted).select("experiment", *[F.round(c, 6).alias(c) for c in _METRICS])
 
 
+def _fitted(kind, rows, weight=None):
+    """What scores features by a model of this kind, fitted on ``rows``."""
+    if kind == "logistic":
+        fit, score = model.fit_logistic(rows, weight=weight), model.logistic_scores
+    else:
+        fit, score = model.fit_trees(rows, weight=weight, **TREES), model.tree_scores
+    return lambda f: score(f, *fit).withColumn("score", F.round("score", 6))
+
+
 def final_matches(spark, sf):
-    """Fit on the labelled pairs, find the threshold on the validation fold, score all candidates of a whole run."""
+    """Choose kind and threshold on the validation fold, refit that kind on the rows of the final fit, score all candidates of a whole run."""
     r, top = _top(spark, sf)
-    known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
-    own = labels.owners(labels.truth_pairs(truth(spark, sf)))
-    fit = cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
-    intercept, weights = model.fit_logistic(labels.fitting_sample(fit))
-    score = lambda f: model.logistic_scores(f, intercept, weights).withColumn("score", F.round("score", 6))
-    counts = labels.true_counts(truth(spark, sf)).withColumn("fold", validation_fold(F.col("s1"))).where("fold = 1").select("s1", "n_true")
-    held = score(fit.where("fold = 1")).select("s1", "label", "score")
-    found = evaluate.best_threshold(evaluate.threshold_scan(held, counts)).first()
-    threshold = found.threshold if found is not None else float("inf")
+    mined = _mined(spark, sf, r, top)
+    counts = labels.true_counts(truth(spark, sf)).where(validation_fold(F.col("s1")) == 1)
+    held = mined.where("fold = 1").withColumn("s1", T.entity_number(F.col("s1_id")))
+    found = {}
+    for kind in ("logistic", "trees"):
+        scored = cut(_fitted(kind, labels.fitting_sample(mined))(held).select("s1", "label", "score"))
+        best = evaluate.best_threshold(evaluate.threshold_scan(scored, counts)).first()
+        found[kind] = (best.macro_f05, best.threshold) if best is not None else (0.0, float("inf"))
+    kind, threshold = evaluate.choose_model(found)
+    score = _fitted(kind, cut(_final_rows(spark, sf, r, mined)), "weight")
     every = features.pair_features(blocking.stages(r, FULL)["top"], r, neutral_hits=True)
     return model.final_matches(master(spark, sf), score(every).select("s1_id", "target_id", "score"), threshold)
 
