@@ -130,6 +130,23 @@ def test_the_chosen_model_is_refitted_on_all_labelled(spark, monkeypatch, kind):
     assert fits[2][2] == linkage.final_fit_rows(spark, DATA).groupBy("label").count().orderBy("label").collect() != fits[0][2]
 
 
+@pytest.mark.parametrize("query", ["gbt_scores", "experiments"])
+def test_trees_have_the_parameters_of_the_reference(spark, monkeypatch, query):
+    class Asked(Exception):
+        pass
+
+    def asked(rows, **parameters):
+        raise Asked(parameters)
+
+    empty = spark.createDataFrame([], "s1_id string, target_id string, fold int, label int")
+    monkeypatch.setattr(linkage, "_features", lambda *a, **k: empty)
+    monkeypatch.setattr(model, "fit_logistic", lambda rows: (0.0, []))
+    monkeypatch.setattr(model, "fit_trees", asked)
+    with pytest.raises(Asked) as said:
+        getattr(linkage, query)(spark, DATA)
+    assert said.value.args[0] == {"iterations": 180, "learning_rate": 0.08, "min_rows": 40}
+
+
 def test_models(spark, rec):
     base = {f: 0.0 for f in features.FEATURES}
     data = [(f"S1-{i}", f"S2-{i}", i % 5 == 0, int(i % 3 == 0), *[(i % 3 == 0) * 1.0 + (i % 7) / 20 if f == "best_field" else base[f] for f in features.FEATURES]) for i in range(120)]

@@ -371,7 +371,7 @@ def logistic_scores(spark, sf):
 
 def gbt_scores(spark, sf):
     f = cut(_features(spark, sf, neutral=True))
-    baseline, nodes = model.fit_trees(labels.fitting_sample(f), iterations=20, min_rows=10)
+    baseline, nodes = model.fit_trees(labels.fitting_sample(f), **TREES)
     return model.tree_scores(f, baseline, nodes).select("s1_id", "target_id", "fold", "label", F.round("score", 6).alias("score"))
 
 
@@ -381,7 +381,7 @@ def experiments(spark, sf):
     fit, held = labels.fitting_sample(f), f.where("fold = 1")
     counts = labels.true_counts(truth(spark, sf)).where(validation_fold(F.col("s1")) == 1)
     intercept, weights = model.fit_logistic(fit)
-    baseline, nodes = model.fit_trees(fit, iterations=20, min_rows=10)
+    baseline, nodes = model.fit_trees(fit, **TREES)
     scored = cut(model.tree_scores(model.logistic_scores(held, intercept, weights).withColumnRenamed("score", "logistic"), baseline, nodes).withColumnRenamed("score", "trees"))
     predicted = evaluate.rules()
     for name, column in (("D_logistic_optimized", "logistic"), ("E_boosted_trees", "trees")):
