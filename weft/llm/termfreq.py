@@ -1,10 +1,10 @@
 """How often every term occurs, in how many records, and which terms are too rare or too common.
 
-Method: last-seen counters. The tokens of a field are streamed ordered by record (and, inside a record,
-by term), so a term enters a *new* record exactly when the token before it in the stream is another
-term or belongs to another record. One comparison with the predecessor therefore replaces the set of
-records that an exact record count would otherwise keep for each term. A term's state is three numbers:
-occurrences, records and the identifier of the last record seen. States are combined map-side and
+Method: a distinct flag per value, in place of last-seen counters over a stream of records. The tokens
+of a value stand in term order, so a term enters the value where the token before it is another term.
+One comparison with the predecessor therefore replaces the set of records that an exact record count
+would otherwise keep for each term; it takes each row for a record of its own. A term's state is three
+numbers: occurrences, records and the largest record identifier. States are combined map-side and
 hash-partitioned by term once; a term that is in every record costs one partial state per task.
 
 Defined results
