@@ -26,6 +26,24 @@ def test_counters_against_brute_force(spark):
     assert {r.term: (r.occurrences, r.records, r.last_record) for r in got.collect()} == {t: (n, len(s), max(s)) for t, (n, s) in want.items()}
 
 
+def test_a_record_spread_over_rows_and_splits_counts_once(spark):
+    rnd = random.Random(4)
+    data = [(rnd.choice([*range(12), None]), " ".join(["hot", *rnd.choices("abc", k=rnd.randrange(0, 4))]), "clash") for _ in range(300)]
+    want = {}
+    for at, (i, v, _) in enumerate(data):
+        for t in v.split(" "):
+            n, s = want.setdefault(t, ([], set()))
+            n.append(i)
+            s.add(i if i is not None else f"row {at}")
+    df = spark.createDataFrame(data, NAMES)
+    for splits in (1, 7):
+        got = term_counters(df.repartition(splits), ["business_name"], "row_no")
+        assert {r.term: (r.occurrences, r.records, r.last_record) for r in got.collect()} == {t: (len(n), len(s), max(x for x in n if x is not None)) for t, (n, s) in want.items()}
+    two = spark.createDataFrame([(1, "a b", ""), (1, "a c", ""), (2, "a", "")], NAMES)
+    assert {r.term: r.records for r in term_counters(two, ["business_name"], "row_no").collect()} == {"a": 2, "b": 1, "c": 1}
+    assert term_counters(spark.createDataFrame([(None, "z", "")], NAMES), ["business_name"], "row_no").first().last_record is None
+
+
 def test_marks(spark):
     df = spark.createDataFrame([(i, "the shop" if i else "The lone lone", "") for i in range(100)], NAMES)
     assert rows(rare_or_common(df, ["business_name"], "row_no"), "term", "mark") == [("lone", "rare"), ("shop", "common"), ("the", "common")]

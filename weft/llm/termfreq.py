@@ -1,18 +1,25 @@
 """How often every term occurs, in how many records, and which terms are too rare or too common.
 
-Method: a distinct flag per value, in place of last-seen counters over a stream of records. The tokens
-of a value stand in term order, so a term enters the value where the token before it is another term.
-One comparison with the predecessor therefore replaces the set of records that an exact record count
-would otherwise keep for each term; it takes each row for a record of its own. A term's state is three
-numbers: occurrences, records and the largest record identifier. States are combined map-side and
-hash-partitioned by term once; a term that is in every record costs one partial state per task.
+Method: last-seen counters. Values are hash-partitioned by record and their tokens ordered by record
+inside a partition. A term's counter holds three numbers, occurrences, records and the record it was last
+seen in: a token counts as a further record where its record is another than the last seen one, so no set
+of records is kept for a term, and a record that arrives in several rows, or gives a term in several
+values, counts once. All of a record lies in one partition; the counters of the partitions therefore add
+up, and a second, map-side combined aggregation by term does that.
+
+A term that stands in every record is spread over all partitions like the records themselves and leaves
+one counter in each, so heavy terms need no salt. What crosses the network is each value once (not each
+token), and then the counters. Rows without a record identifier are spread over all partitions. Rows of
+one identifier share a partition; an identifier is a record, so its rows are few.
 
 Defined results
     * a null value is no record; an empty value, or one of blanks only, is a record without terms;
-    * repeated rows count each time; an empty table gives no rows;
+    * rows of one record identifier are one record, whatever their number; every row counts for the
+      occurrences; a row with a null identifier is a record of its own, and ``last_record`` is null if a
+      term has no other;
+    * an empty table gives no rows;
     * a term that only one record holds is ``rare`` and, where the field has fewer than ``one_in``
       records, ``common`` as well (both marks are true statements then);
-    * a null record identifier takes part in the counts; ``last_record`` is null if a term has no other;
     * extra columns are ignored, whatever their names; very long values are processed whole.
 """
 
@@ -20,9 +27,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: slices of the records for each shuffle partition, so that the partitions fill evenly
+SLICES = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,28 +42,34 @@ def blank_terms(value: Column) -> Column:
 
 def term_counters(df: DataFrame, fields: Sequence[str], record: str, tokenizer=blank_terms) -> DataFrame:
     """field, term, occurrences, records, last_record for every term of every field."""
-    values = df.select(
-        F.col(record).alias("_weft_record"),
-        F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields])).alias("_weft_v"),
-    ).where(F.col("_weft_v.value").isNotNull())
-    # inside a record the tokens stand in term order; `fresh` marks the first of each run of one term
-    ordered = F.sort_array(tokenizer(F.col("_weft_v.value")))
-    stream = values.select("_weft_record", F.col("_weft_v.field").alias("field"), F.posexplode(ordered).alias("_weft_i", "term"), ordered.alias("_weft_all"))
-    fresh = (F.col("_weft_i") == 0) | (F.try_element_at("_weft_all", F.greatest(F.col("_weft_i"), F.lit(1))) != F.col("term"))
-    return stream.select("field", "term", "_weft_record", fresh.alias("_weft_fresh")).groupBy("field", "term").agg(
-        F.count(F.lit(1)).alias("occurrences"), F.count_if("_weft_fresh").alias("records"), F.max("_weft_record").alias("last_record")
-    )
-
-
-def field_sizes(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """field, field_records: the rows with a non-null value. One row per field."""
-    sizes = df.agg(*[F.count(F.col(f)).alias(f"n{i}") for i, f in enumerate(fields)])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a row without an identifier is told apart by its position
+    alone = F.when(F.col(record).isNull(), F.monotonically_increasing_id())
+    part = F.pmod(F.when(alone.isNull(), F.xxhash64(record)).otherwise(F.xxhash64(alone)), F.lit(parts * SLICES)).cast("int")
+    rows = df.select(F.col(record).alias("_weft_record"), alone.alias("_weft_alone"), part.alias("_weft_part"), *[F.col(f).cast("string").alias(f"_weft_v{i}") for i, f in enumerate(fields)])
+    rows = rows.where(F.coalesce(*[F.col(f"_weft_v{i}") for i in range(len(fields))]).isNotNull()).repartition(parts, "_weft_part")
+    values = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_weft_v{i}").alias("value")) for i, f in enumerate(fields)]))
+    tokens = rows.select("_weft_part", "_weft_record", "_weft_alone", values.alias("_weft_v"))
+    tokens = tokens.select("_weft_part", "_weft_record", "_weft_alone", F.col("_weft_v.field").alias("field"), F.explode(tokenizer(F.col("_weft_v.value"))).alias("term"))
+    # the stream of a term inside a partition, in order of the records; partitioned by _weft_part already, so only sorted
+    stream = Window.partitionBy("_weft_part", "field", "term").orderBy("_weft_record", "_weft_alone")
+    here = F.struct(F.col("_weft_record").alias("r"), F.col("_weft_alone").alias("a"))
+    seen = tokens.select("_weft_part", "field", "term", "_weft_record", (~F.lag(here).over(stream).eqNullSafe(here)).alias("_weft_fresh"))
+    counters = seen.groupBy("_weft_part", "field", "term").agg(F.count(F.lit(1)).alias("occurrences"), F.count_if("_weft_fresh").alias("records"), F.max("_weft_record").alias("last_record"))
+    return counters.groupBy("field", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"), F.max("last_record").alias("last_record"))
+
+
+def field_sizes(df: DataFrame, fields: Sequence[str], record: str) -> DataFrame:
+    """field, field_records: the records with a non-null value. One row per field."""
+    flags = df.select(F.col(record).alias("_weft_record"), *[F.col(f).isNotNull().cast("int").alias(f"n{i}") for i, f in enumerate(fields)])
+    known = flags.where(F.col("_weft_record").isNotNull()).groupBy("_weft_record").agg(*[F.max(f"n{i}").alias(f"n{i}") for i in range(len(fields))]).drop("_weft_record")
+    sizes = known.unionByName(flags.where(F.col("_weft_record").isNull()).drop("_weft_record")).agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(fields))])
     return sizes.select(F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"n{i}").alias("field_records")) for i, f in enumerate(fields)])).alias("s")).select("s.*")
 
 
 def marked_terms(df: DataFrame, fields: Sequence[str], record: str, *, rare_at_most: int = 1, one_in: int = 50) -> DataFrame:
     """All terms with their counters and the array ``marks`` (subset of rare, common)."""
-    sizes = F.broadcast(field_sizes(df, fields))  # as many rows as there are fields
+    sizes = F.broadcast(field_sizes(df, fields, record))  # as many rows as there are fields
     rare = F.when(F.col("records") <= rare_at_most, F.lit("rare"))
     common = F.when(F.col("records") * one_in > F.col("field_records"), F.lit("common"))
     return term_counters(df, fields, record).join(sizes, "field").withColumn("marks", F.array_compact(F.array(rare, common)))
