@@ -29,10 +29,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared folder; a folder of our own only where none is set (tests)."""
+    """Use the cluster's shared folder; a folder of our own only where none is set and all runs on one machine (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="weft-checkpoint-"))
 
 
@@ -40,3 +42,12 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise a plan in the checkpoint folder and cut its lineage there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a frame made by ``cut`` that nothing will read again."""
+    spark = df.sparkSession
+    folder = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if folder.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
