@@ -65,19 +65,50 @@ def edits(a: str, b: str, most: int) -> int:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
-    before, row = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        now, low = [i], i
-        for j, y in enumerate(b, 1):
-            v = min(row[j] + 1, now[j - 1] + 1, row[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                v = min(v, before[j - 2] + 1)
-            now.append(v)
-            low = min(low, v)
+    if len(a) > len(b):
+        a, b = b, a
+    start, end = 0, len(a)
+    while start < end and a[start] == b[start]:
+        start += 1
+    gap = len(b) - len(a)
+    while end > start and a[end - 1] == b[end + gap - 1]:
+        end -= 1
+    a, b = a[start:end], b[start : end + gap]
+    n, m = len(a), len(b)
+    if not n or most == 0:
+        return min(m, most + 1)
+    # letters that the longer has and the other hasn't can't be explained by swaps
+    if m - sum(min(a.count(c), b.count(c)) for c in set(a)) > most:
+        return most + 1
+    far = most + 1
+    before, row = [far] * (m + 2), [*range(min(m, most) + 1), *[far] * (m + 1 - min(m, most))]
+    for i in range(1, n + 1):
+        x, lo, hi = a[i - 1], max(1, i - most), min(m, i + most)
+        now = [far] * (m + 2)
+        if i <= most:
+            now[0] = i
+        low = now[0]
+        swapped = a[i - 2] if i > 1 else ""
+        for j in range(lo, hi + 1):
+            y = b[j - 1]
+            if x == y:
+                v = row[j - 1]
+            else:
+                v = row[j - 1]
+                if row[j] < v:
+                    v = row[j]
+                if now[j - 1] < v:
+                    v = now[j - 1]
+                v += 1
+                if swapped == y and j > 1 and x == b[j - 2] and before[j - 2] + 1 < v:
+                    v = before[j - 2] + 1
+            now[j] = v
+            if v < low:
+                low = v
         if low > most:
-            return most + 1
+            return far
         before, row = row, now
-    return min(row[-1], most + 1)
+    return min(row[m], far)
 
 
 def _inside(short: str, long: str) -> bool:
@@ -85,6 +116,21 @@ def _inside(short: str, long: str) -> bool:
     return all(c in it for c in short)
 
 
+def _mask(word: str) -> int:
+    out = 0
+    for c in word:
+        out |= 1 << (ord(c) & 63)
+    return out
+
+
+_LINES_BY_FIRST: dict[str, list[str]] = {}
+_LINES_BY_LENGTH: dict[int, list[tuple[str, int]]] = {}
+for _w in sorted(LINES):
+    _LINES_BY_FIRST.setdefault(_w[0], []).append(_w)
+    if len(_w) >= 6:
+        _LINES_BY_LENGTH.setdefault(len(_w), []).append((_w, _mask(_w)))
+
+
 @lru_cache(200_000)
 def line_word(word: str) -> frozenset[str]:
     """The line-of-business words that a word is, abbreviates or misspells; empty for none."""
@@ -95,12 +141,13 @@ def line_word(word: str) -> frozenset[str]:
     if len(stem) < 3:
         return frozenset()
     vowels = sum(c in "aeiou" for c in stem[1:])
-    found = {w for w in LINES if len(stem) < len(w) and w.startswith(stem) and (len(stem) >= 4 or not vowels or stem[-1] not in "aeiou" and vowels == 1)}
+    near = _LINES_BY_FIRST.get(stem[0], ())
+    found = {w for w in near if len(stem) < len(w) and w.startswith(stem) and (len(stem) >= 4 or not vowels or stem[-1] not in "aeiou" and vowels == 1)}
     if vowels <= 1 and len(stem) <= 7:
-        found |= {w for w in LINES if w[0] == stem[0] and len(stem) <= 0.75 * len(w) and _inside(stem, w)}
+        found |= {w for w in near if len(stem) <= 0.75 * len(w) and _inside(stem, w)}
     if not found and len(word) >= 5:
-        letters = set(word)
-        found = {w for w in LINES if len(w) >= 6 and abs(len(w) - len(word)) <= 2 and len(letters ^ set(w)) <= 4 and edits(word, w, 2) <= (2 if len(w) >= 8 else 1)}
+        letters = _mask(word)
+        found = {w for n in range(len(word) - 2, len(word) + 3) for w, m in _LINES_BY_LENGTH.get(n, ()) if (letters ^ m).bit_count() <= 4 and edits(word, w, 2) <= (2 if n >= 8 else 1)}
     return frozenset(found)
 
 
@@ -145,10 +192,15 @@ def sound(word: str) -> str:
     return _TWICE.sub(r"\1", word)
 
 
-def name_keys(name: Name) -> list[str]:
+@lru_cache(100_000)
+def _keys_of(core: tuple[str, ...]) -> tuple[str, ...]:
+    heard = [sound(w) for w in core]
+    return tuple(sorted({"".join(order) for words in (list(core), heard) for order in (words, words[::-1], sorted(words))} - {""}))
+
+
+def name_keys(name: Name) -> tuple[str, ...]:
     """Keys a name is compared by: its own words as they stand, reversed and in order of the alphabet, as written and as sounded."""
-    heard = [sound(w) for w in name.core]
-    return sorted({"".join(order) for words in (list(name.core), heard) for order in (words, words[::-1], sorted(words))} - {""})
+    return _keys_of(name.core)
 
 
 def heard_keys(name: Name) -> list[str]:
