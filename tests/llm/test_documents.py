@@ -150,17 +150,45 @@ def test_leaks(spark):
     docs = [(1, f"Before. {half} after"), (2, short), (3, f"x {changed} y"), (4, markup), (5, other), (6, None), (7, ""), (8, "a b " * 20000 + ITEM), (None, ITEM), (1, f"Before. {half} after")]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumn("item_id", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("clash"))
     items = spark.createDataFrame([(10, ITEM, "s"), (11, None, "s"), (12, "too short", "s")], "item_id bigint, text string, suite string")
-    found = leaked_items(df, "doc_id", "text", items, "item_id", "text").select("doc_id", "item_id").distinct()
+    found = quoted(leaked_items(df, "doc_id", "text", items, "item_id", "text")).select("doc_id", "item_id").distinct()
     assert rows(found, "doc_id", "item_id") == [(1, 10), (3, 10), (4, 10), (8, 10), (None, 10)]
     assert leaked_items(df, "doc_id", "text", items.limit(0), "item_id", "text").count() == 0
     assert leaked_items(df.limit(0), "doc_id", "text", items, "item_id", "text").count() == 0
 
 
+def quoted(df):
+    return df.where("stretch >= wanted")
+
+
+def test_reordered_passages_are_leaks_but_no_quotations(spark):
+    words = ITEM.split()
+    n = len(words)
+    quarters = [words[i * n // 4 : (i + 1) * n // 4] for i in range(4)]
+    docs = [(1, "so " * 30 + " ".join(w for q in quarters[::-1] for w in q) + " end" * 30), (2, " ".join(quarters[2])), (3, " ".join(sorted(words)))]
+    items = spark.createDataFrame([(10, ITEM)], "item_id bigint, text string")
+    got = leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items, "item_id", "text").collect()
+    assert [(r.doc_id, r.coverage) for r in got] == [(1, 1.0)] and got[0].stretch < got[0].wanted
+
+
+def test_short_items(spark):
+    items = [(1, "six words stand here for good"), (2, "Only three words"), (3, "two words"), (4, "word"), (5, "-- !"), (6, "five more words are here"), (7, "")]
+    docs = [(1, "And so six words, stand here for good."), (2, "only three words"), (3, "in two words"), (4, "wording"), (5, "six words stand"), (6, "stand for words"), (7, "a Word")]
+    found = leaked_items(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text")
+    assert rows(quoted(found), "doc_id", "item_id") == [(1, 1), (2, 2), (3, 3), (5, 1), (7, 4)]
+
+
+def test_passes_give_the_same_rows(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{DATA}/eval_items.parquet").select("item_id", "text")
+    once = rows(leaked_items(docs, "doc_id", "text", items, "item_id", "text"), "doc_id", "item_id", "coverage", "stretch")
+    assert rows(leaked_items(docs, "doc_id", "text", items, "item_id", "text", most_words=1500), "doc_id", "item_id", "coverage", "stretch") == once and once
+
+
 def test_leaks_against_all_pairs(spark):
     """Every pair of the small tables decided by the exact check alone."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{DATA}/eval_items.parquet").select("item_id", "text")
-    got = {(r.doc_id, r.item_id) for r in leaked_items(docs, "doc_id", "text", items, "item_id", "text").collect()}
+    got = {(r.doc_id, r.item_id) for r in quoted(leaked_items(docs, "doc_id", "text", items, "item_id", "text")).collect()}
     known: dict[str, int] = {}
     ids = lambda t: [known.setdefault(w, len(known) + 1) for w in text_words(t or "")]
     wanted, it = set(), [(r.item_id, ids(r.text)) for r in items.collect()]
