@@ -293,6 +293,7 @@ ROADS = {
     "ул": "ул", "улица": "ул", "бул": "бул", "булевард": "бул", "bd": "boulevard", "chemin": "chemin", "quai": "quai",
 }
 SOFT_ROADS = frozenset(("st", "r", "la", "bd", "dr", "av", "place", "way"))  # these can stand for something else
+GLUED_ROADS = ("strasse", "platz", "allee", "weg")  # written in one word with the street's name
 SIDES = {"n": "north", "north": "north", "s": "south", "south": "south", "e": "east", "east": "east", "w": "west", "west": "west"}
 LANDMARKS = frozenset("near opp opposite behind next to beside by at the of old market industrial area estate town hall bus stand station post office water tank bridge park city centre center temple church до пазара".split())
 
@@ -353,6 +354,9 @@ def parse_address(value: str) -> Place:
             elif p in ROADS:
                 if p not in SOFT_ROADS:
                     roads.append(ROADS[p])
+            elif (glued := next((r for r in GLUED_ROADS if len(p) >= len(r) + 3 and p.endswith(r)), "")):
+                roads.append(glued)
+                words.append(p[: -len(glued)])
             elif p not in LANDMARKS and len(p) > 2:
                 words.append(p)
             elif p not in LANDMARKS and len(p) == 2:
