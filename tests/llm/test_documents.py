@@ -87,6 +87,32 @@ def test_viterbi_against_brute_force():
             at += n
 
 
+def test_long_texts_are_decoded_whole():
+    """Against a plain decoder, on a text of 20,000 words whose labels hang on one another."""
+    rnd = np.random.default_rng(5)
+    scores, switch = rnd.normal(size=(20_000, 4)).astype(np.float32), 3.0
+    best, back = scores[0].astype(np.float64), []
+    for t in range(1, len(scores)):
+        top = int(best.argmax())
+        stay = best >= best[top] - switch
+        back.append([s if stay[s] else top for s in range(4)])
+        best = np.where(stay, best, best[top] - switch) + scores[t]
+    path = [int(best.argmax())]
+    for b in back[::-1]:
+        path.append(b[path[-1]])
+    value = lambda p: scores[np.arange(len(p)), p].sum(dtype=np.float64) - switch * (np.diff(p) != 0).sum()
+    got = viterbi(np.concatenate((scores, scores[:7])), np.array([20_000, 7]), switch)
+    assert value(got[:20_000]) == pytest.approx(value(np.array(path[::-1])), rel=1e-6)
+
+
+def test_spans_inside_a_paragraph(spark, samples):
+    en = "the old harbour replaced a line of wooden houses around the square after the great flood of the year"
+    de = "der alte Hafen ersetzte eine Reihe hölzerner Häuser rund um den Platz"
+    df = spark.createDataFrame([(1, f"{en} {de} {en}"), (2, en)], "doc_id bigint, text string")
+    got = language_segments(df, "doc_id", "text", samples)
+    assert rows(got, "doc_id", "seg_no", "first_word", "lang", "words") == [(1, 0, 0, "en", 50), (1, 1, 20, "de", 12), (2, 0, 0, "en", 19)]
+
+
 def test_words_and_scripts():
     m = WordModel([(lang, t) for _, lang, t in SAMPLES])
     best = lambda w: [*m.langs, "none"][int(m.scores(w).argmax())]
