@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from weft.llm.matching import beliefs, fit_prior, grade, match_lists, packed_name, packed_place, placed, propagate, unpacked_name, unpacked_place
-from weft.llm.names import edits, folded, gate_keys, parse_address, parse_name, same_name, same_place, sound
+from weft.llm.matching import beliefs, fit_prior, grade, match_lists, placed, propagate
+from weft.llm.names import edits, folded, gate_keys, packed_name, packed_place, parse_address, parse_name, same_name, same_place, sound, unpacked_name, unpacked_place
 from weft.llm.places import place_pairs
 from weft.llm.variants import radius_pairs, variant_pairs
 

@@ -49,6 +49,8 @@ _FOLDS = str.maketrans({"ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "đ": "d"
 
 def plain(value: str) -> str:
     """Consistent characters, lower case, no accents."""
+    if value.isascii() and value.isprintable():
+        return value.lower()
     text = unicodedata.normalize("NFKD", settle(value, respell_whole=True)[0].lower())
     return "".join(c for c in text if not unicodedata.combining(c)).translate(_FOLDS)
 
@@ -58,7 +60,7 @@ def folded(value: str) -> str:
     return "".join(_TOKEN.findall(plain(value)))
 
 
-@lru_cache(200_000)
+@lru_cache(30_000)
 def edits(a: str, b: str, most: int) -> int:
     """Insertions, deletions, substitutions and swaps of neighbours, or ``most`` + 1 where more."""
     if a == b:
@@ -131,7 +133,7 @@ for _w in sorted(LINES):
         _LINES_BY_LENGTH.setdefault(len(_w), []).append((_w, _mask(_w)))
 
 
-@lru_cache(200_000)
+@lru_cache(30_000)
 def line_word(word: str) -> frozenset[str]:
     """The line-of-business words that a word is, abbreviates or misspells; empty for none."""
     word = LINE_TWINS.get(word, word)
@@ -158,7 +160,7 @@ class Name(NamedTuple):
     numbers: tuple[str, ...]
 
 
-@lru_cache(100_000)
+@lru_cache(30_000)
 def parse_name(value: str) -> Name:
     text = _DOTTED.sub(lambda m: m[0].replace(".", ""), _APOSTROPHE.sub("", plain(value)))
     text = _PRIVATE.sub(" ", _SLASHED.sub("", text))
@@ -192,7 +194,7 @@ def sound(word: str) -> str:
     return _TWICE.sub(r"\1", word)
 
 
-@lru_cache(100_000)
+@lru_cache(30_000)
 def _keys_of(core: tuple[str, ...]) -> tuple[str, ...]:
     heard = [sound(w) for w in core]
     return tuple(sorted({"".join(order) for words in (list(core), heard) for order in (words, words[::-1], sorted(words))} - {""}))
@@ -314,7 +316,7 @@ class Place(NamedTuple):
     codes: tuple[str, ...] = ()  # words of two letters: regions
 
 
-@lru_cache(100_000)
+@lru_cache(30_000)
 def parse_address(value: str) -> Place:
     text = " ".join(plain(value).split())
     post = ""
@@ -428,3 +430,30 @@ def same_place(a: Place, b: Place, slack: int = 0) -> bool:
     if a.codes and b.codes and not set(a.codes) & set(b.codes):
         return False
     return not (left and right)
+
+
+_US, _RS = "\x1f", "\x1e"
+
+
+def packed_name(value: str) -> str:
+    """A parsed name with its folded spelling as one text, so that it is parsed once per form and not per pair."""
+    n = parse_name(" ".join(plain(value).split()))
+    return _RS.join((folded(value), _US.join(n.core), n.given, _US.join(",".join(sorted(w)) for w in n.line), _US.join(n.numbers)))
+
+
+@lru_cache(30_000)
+def unpacked_name(text: str) -> tuple[str, Name]:
+    fold, core, given, line, numbers = text.split(_RS)
+    words = lambda t: tuple(t.split(_US)) if t else ()
+    return fold, Name(words(core), given, tuple(frozenset(w.split(",")) for w in words(line)), words(numbers))
+
+
+def packed_place(value: str) -> str:
+    p = parse_address(" ".join(plain(value).split()))
+    return _RS.join((p.post, *[_US.join(x) for x in p[1:]]))
+
+
+@lru_cache(30_000)
+def unpacked_place(text: str) -> Place:
+    post, *rest = text.split(_RS)
+    return Place(post, *[tuple(x.split(_US)) if x else () for x in rest])

@@ -33,28 +33,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.names import bone_keys, folded, heard_keys, parse_name, plain, same_name
-from weft.session import cut
+from weft.llm.names import bone_keys, heard_keys, packed_name, plain, same_name, unpacked_name
+from weft.session import cut, ship
 
-RADIUS, BONE_RADIUS, PIVOTS = 2, 1, 16
+RADIUS, BONE_RADIUS, PIVOTS = 2, 1, 4
 BRIDGED = 6
 #: keys looked at when pivots are chosen; pivots change the cost, never the result
 PIVOT_SAMPLE = 1000
 
 
 def name_forms(names: DataFrame, column: str) -> DataFrame:
-    """raw, norm, fold, keys, bones of every distinct non-null name."""
+    """raw, norm, fold, what (the parts as one text), keys, bones of every distinct non-null name."""
+    ship(names.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            raw = b.column(0).to_pylist()
-            norm = [" ".join(plain(v).split()) for v in raw]
-            parsed = [parse_name(n) for n in norm]
-            cols = [b.column(0), pa.array(norm, pa.string()), pa.array([folded(v) for v in raw], pa.string()), *[pa.array([f(p) for p in parsed], pa.list_(pa.string())) for f in (heard_keys, bone_keys)]]
-            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "fold", "keys", "bones"])
+            norm = [" ".join(plain(v).split()) for v in b.column(0).to_pylist()]
+            what = [packed_name(n) for n in norm]
+            parsed = [unpacked_name(w) for w in what]
+            cols = [b.column(0), pa.array(norm, pa.string()), pa.array([f for f, _ in parsed], pa.string()), pa.array(what, pa.string()), *[pa.array([f(p) for _, p in parsed], pa.list_(pa.string())) for f in (heard_keys, bone_keys)]]
+            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "fold", "what", "keys", "bones"])
 
     distinct = names.select(F.col(column).cast("string").alias("raw")).where(F.col("raw").isNotNull()).distinct()
-    return distinct.mapInArrow(run, "raw string, norm string, fold string, keys array<string>, bones array<string>").where(F.col("fold") != "")
+    return distinct.mapInArrow(run, "raw string, norm string, fold string, what string, keys array<string>, bones array<string>").where(F.col("fold") != "")
 
 
 def choose_pivots(keys: DataFrame, n: int) -> list[str]:
@@ -76,73 +77,86 @@ def choose_pivots(keys: DataFrame, n: int) -> list[str]:
     return pivots
 
 
-def radius_pairs(keys: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) -> DataFrame:
-    """a, b (a < b) of all distinct keys within the radius."""
+def members(keys: DataFrame, radius: int, pivots: int) -> DataFrame:
+    """key, cell, mine (whether the cell is the key's home): the home cell of every key and the lower ones it is near to."""
     chosen = choose_pivots(keys, pivots)
     points = F.array(*[F.lit(p) for p in chosen]) if chosen else F.array().cast("array<string>")
-    away = keys.select("key", F.transform(points, lambda p: F.levenshtein(F.col("key"), p)).alias("d")).where(F.size("d") > 0)
+    # distinct keys are few rows that become many, so they are spread before
+    spread = keys.repartition(int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    away = spread.select("key", F.transform(points, lambda p: F.levenshtein(F.col("key"), p)).alias("d")).where(F.size("d") > 0)
     home = away.select("key", "d", (F.array_position("d", F.array_min("d")) - 1).cast("int").alias("home"))
     near = F.filter(F.sequence(F.lit(0), F.col("home")), lambda j: F.get("d", j) <= F.array_min("d") + 2 * radius)
-    members = home.select("key", "home", F.explode(near).alias("cell"), F.length("key").alias("n"))
+    return home.select("key", "home", F.explode(near).alias("cell")).select("key", "cell", (F.col("cell") == F.col("home")).alias("mine"))
+
+
+def radius_pairs(keys: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) -> DataFrame:
+    """a, b (a < b) of all distinct keys within the radius."""
     parts = radius + 1
+    inside = members(keys, radius, pivots).withColumn("n", F.length("key"))
     # segment s (from 0) of a key of length n: from s*n/parts, as even as can be
     start = lambda n, s: F.floor(n * s / F.lit(parts)).cast("int")
+    meet = lambda piece: F.xxhash64("cell", "l", "s", piece).alias("at")
     one, other = F.col("n"), F.col("l")
-    index = members.select("key", "home", "cell", "n", F.explode(F.sequence(F.lit(0), F.lit(radius))).alias("s"))
-    index = index.select("cell", F.col("n").alias("l"), "s", F.expr("substring(key, cast(floor(n * s / {0}) as int) + 1, cast(floor(n * (s + 1) / {0}) as int) - cast(floor(n * s / {0}) as int))".format(parts)).alias("piece"), F.col("key").alias("short"), F.col("home").alias("short_home"))
-    probe = members.select("key", "home", "cell", "n", F.explode(F.sequence(F.greatest(one - radius, F.lit(0)), one)).alias("l"), F.expr(f"sequence(0, {radius})").alias("ss"))
-    probe = probe.select("key", "home", "cell", "n", "l", F.explode("ss").alias("s"))
+    index = inside.select("key", "mine", "cell", F.col("n").alias("l"), F.explode(F.sequence(F.lit(0), F.lit(radius))).alias("s"))
+    piece = F.expr("substring(key, cast(floor(l * s / {0}) as int) + 1, cast(floor(l * (s + 1) / {0}) as int) - cast(floor(l * s / {0}) as int))".format(parts))
+    index = index.select(meet(piece), F.col("key").alias("short"), F.col("mine").alias("short_mine"))
+    probe = inside.select("key", "mine", "cell", "n", F.explode(F.sequence(F.greatest(one - radius, F.lit(0)), one)).alias("l"), F.expr(f"sequence(0, {radius})").alias("ss"))
+    probe = probe.select("key", "mine", "cell", "n", "l", F.explode("ss").alias("s"))
     begin, gap = start(other, F.col("s")), one - other
     lo = F.greatest(F.lit(0), begin - F.col("s"), begin + gap - (radius - F.col("s")))
     hi = F.least(begin + F.col("s"), begin + gap + (radius - F.col("s")))
-    probe = probe.select("key", "home", "cell", "n", "l", "s", start(other, F.col("s") + 1).alias("e"), begin.alias("b"), lo.alias("lo"), hi.alias("hi")).where(F.col("lo") <= F.col("hi"))
-    probe = probe.select("key", "home", "cell", "l", "s", F.explode(F.sequence("lo", "hi")).alias("p"), (F.col("e") - F.col("b")).alias("w"), "n").where(F.col("p") + F.col("w") <= F.col("n"))
-    probe = probe.select("cell", "l", "s", F.expr("substring(key, p + 1, w)").alias("piece"), F.col("key").alias("long"), F.col("home").alias("long_home"))
-    met = probe.join(index, ["cell", "l", "s", "piece"]).where((F.col("long") != F.col("short")) & ((F.col("cell") == F.col("long_home")) | (F.col("cell") == F.col("short_home"))))
+    probe = probe.select("key", "mine", "cell", "n", "l", "s", start(other, F.col("s") + 1).alias("e"), begin.alias("b"), lo.alias("lo"), hi.alias("hi")).where(F.col("lo") <= F.col("hi"))
+    probe = probe.select("key", "mine", "cell", "l", "s", F.explode(F.sequence("lo", "hi")).alias("p"), (F.col("e") - F.col("b")).alias("w"), "n").where(F.col("p") + F.col("w") <= F.col("n"))
+    probe = probe.select(meet(F.expr("substring(key, p + 1, w)")), F.col("key").alias("long"), F.col("mine").alias("long_mine"))
+    met = probe.join(index, "at").where((F.col("long") != F.col("short")) & (F.col("long_mine") | F.col("short_mine")))
     close = met.where(F.levenshtein("long", "short", radius) >= 0)
     return close.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
 
 
-def _candidates(forms: DataFrame, kind: str, radius: int, pivots: int) -> DataFrame:
-    """x, y: names with keys of one kind within the radius."""
-    by_key = forms.select("norm", "fold", F.explode(kind).alias("key")).distinct()
+def _candidates(names: DataFrame, kind: str, radius: int, pivots: int) -> DataFrame:
+    """x, y: numbers of the names with keys of one kind within the radius."""
+    by_key = names.select("name", F.xxhash64("fold").alias("f"), F.explode(kind).alias("key")).distinct()
     keys = cut(by_key.select("key").distinct())
-    pairs = radius_pairs(keys, radius, pivots)
-    met = pairs.unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b")))
-    left = by_key.select(F.col("key").alias("a"), F.col("norm").alias("x"), F.col("fold").alias("fx"))
-    right = by_key.select(F.col("key").alias("b"), F.col("norm").alias("y"), F.col("fold").alias("fy"))
-    cand = met.join(left, "a").join(right, "b").where(F.col("fx") != F.col("fy"))
+    met = radius_pairs(keys, radius, pivots).unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b")))
+    side = lambda k, n, f: by_key.select(F.col("key").alias(k), F.col("name").alias(n), F.col("f").alias(f))
+    cand = met.join(side("a", "x", "fx"), "a").join(side("b", "y", "fy"), "b").where(F.col("fx") != F.col("fy"))
     return cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
-def _verified(pairs: DataFrame, radius: int, share: int) -> DataFrame:
+def _verified(pairs: DataFrame, names: DataFrame, radius: int, share: int) -> DataFrame:
+    part = lambda n, w: names.select(F.col("name").alias(n), F.col("what").alias(w))
+    full = pairs.join(part("x", "wx"), "x").join(part("y", "wy"), "y").select("x", "y", "wx", "wy")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [same_name(parse_name(x), parse_name(y), radius, share) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                (fold_x, p), (fold_y, q) = unpacked_name(x), unpacked_name(y)
+                keep.append(fold_x != fold_y and same_name(p, q, radius, share))
+            yield b.filter(pa.array(keep, pa.bool_())).select(["x", "y"])
 
-    return pairs.mapInArrow(run, "x string, y string")
+    return full.mapInArrow(run, "x long, y long")
 
 
-def two_steps(pairs: DataFrame) -> DataFrame:
+def two_steps(pairs: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """x, y (x < y) that are no pair themselves but both paired with a third."""
-    both = pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    met = both.select(F.col("x").alias("m"), F.col("y").alias("x")).join(both.select(F.col("x").alias("m"), "y"), "m").where(F.col("x") < F.col("y"))
-    return met.select("x", "y").distinct().join(pairs.select("x", "y"), ["x", "y"], "left_anti")
+    one, other = F.col(x), F.col(y)
+    both = pairs.select(one.alias("m"), other.alias("n")).unionByName(pairs.select(other.alias("m"), one.alias("n")))
+    met = both.select("m", F.col("n").alias(x)).join(both.select("m", F.col("n").alias(y)), "m").where(F.col(x) < F.col(y))
+    return met.select(x, y).distinct().join(pairs.select(F.least(x, y).alias(x), F.greatest(x, y).alias(y)), [x, y], "left_anti")
 
 
 def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS, bridged: int = BRIDGED) -> DataFrame:
     """id_a, id_b, name_a, name_b: records whose names are spellings of one another."""
     named = df.select(F.col(key).cast("string").alias("id"), F.col(name).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(name_forms(named, "raw"))
-    cand = _candidates(forms, "keys", radius, pivots).unionByName(_candidates(forms, "bones", bone_radius, pivots)).distinct()
-
-    same = cut(_verified(cand, 3, 5))
+    names = cut(forms.select("norm", "fold", "what", "keys", "bones").dropDuplicates(["norm"]).withColumn("name", F.monotonically_increasing_id()))
+    cand = _candidates(names, "keys", radius, pivots).unionByName(_candidates(names, "bones", bone_radius, pivots)).distinct()
+    same = cut(_verified(cand, names, 3, 5))
     if bridged:
-        folds = forms.select("norm", "fold").distinct()
-        steps = two_steps(same).join(folds.select(F.col("norm").alias("x"), F.col("fold").alias("fx")), "x").join(folds.select(F.col("norm").alias("y"), F.col("fold").alias("fy")), "y").where(F.col("fx") != F.col("fy"))
-        same = same.unionByName(_verified(steps.select("x", "y"), bridged, 2))
-    ids = named.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
-    both = same.join(ids.select(F.col("norm").alias("x"), F.col("id").alias("p")), "x").join(ids.select(F.col("norm").alias("y"), F.col("id").alias("q")), "y").where(F.col("p") != F.col("q"))
+        same = same.unionByName(_verified(two_steps(same), names, bridged, 2))
+    ids = named.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct().join(names.select("norm", "name"), "norm")
+    side = lambda n, i, t: ids.select(F.col("name").alias(n), F.col("id").alias(i), F.col("norm").alias(t))
+    both = same.join(side("x", "p", "px"), "x").join(side("y", "q", "qy"), "y").where(F.col("p") != F.col("q"))
     first = F.col("p") < F.col("q")
-    return both.select(F.when(first, F.col("p")).otherwise(F.col("q")).alias("id_a"), F.when(first, F.col("q")).otherwise(F.col("p")).alias("id_b"), F.when(first, F.col("x")).otherwise(F.col("y")).alias("name_a"), F.when(first, F.col("y")).otherwise(F.col("x")).alias("name_b"))
+    return both.select(F.when(first, F.col("p")).otherwise(F.col("q")).alias("id_a"), F.when(first, F.col("q")).otherwise(F.col("p")).alias("id_b"), F.when(first, F.col("px")).otherwise(F.col("qy")).alias("name_a"), F.when(first, F.col("qy")).otherwise(F.col("px")).alias("name_b"))
