@@ -28,17 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.names import parse_address, plain, same_place
+from weft.llm.names import Place, packed_place, plain, same_place, unpacked_place
 from weft.llm.variants import two_steps
-from weft.session import cut
+from weft.session import cut, ship
 
 GRAM, SIMILARITY = 4, 0.25
 SLACK = 2
 
 
-def grams(text: str) -> list[str]:
+def grams(p: Place) -> list[str]:
     """n-grams of the words that tell places apart, and the postcode."""
-    p = parse_address(text)
     out = {p.post} if p.post else set()
     for w in p.words:
         s = f"^{w}$"
@@ -47,78 +46,100 @@ def grams(text: str) -> list[str]:
 
 
 def address_forms(df: DataFrame, column: str) -> DataFrame:
-    """raw, norm, houses, grams of every distinct non-null address."""
+    """raw, norm, where (the parts as one text), houses, grams of every distinct non-null address."""
+    ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             norm = [" ".join(plain(v).split()) for v in b.column(0).to_pylist()]
-            cols = [b.column(0), pa.array(norm, pa.string()), pa.array([sorted(set(parse_address(n).houses)) for n in norm], pa.list_(pa.string())), pa.array([grams(n) for n in norm], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "houses", "grams"])
+            where = [packed_place(n) for n in norm]
+            parsed = [unpacked_place(w) for w in where]
+            cols = [b.column(0), pa.array(norm, pa.string()), pa.array(where, pa.string()), pa.array([sorted(set(p.houses)) for p in parsed], pa.list_(pa.string())), pa.array([grams(p) for p in parsed], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(cols, ["raw", "norm", "where", "houses", "grams"])
 
     distinct = df.select(F.col(column).cast("string").alias("raw")).where(F.col("raw").isNotNull()).distinct()
-    return distinct.mapInArrow(run, "raw string, norm string, houses array<string>, grams array<string>").where(F.col("norm") != "")
+    return distinct.mapInArrow(run, "raw string, norm string, where string, houses array<string>, grams array<string>").where(F.col("norm") != "")
 
 
-def weighted(forms: DataFrame) -> DataFrame:
-    """norm, houses, grams (rarest first), weights (unit length), prefix (grams to be indexed)."""
-    long = forms.select("norm", "houses", F.explode("grams").alias("gram"))
+def weighted(forms: DataFrame, similarity: float) -> DataFrame:
+    """aid, norm, where, houses, codes (of the grams, rarest first), w (of unit length), prefix (grams to be indexed)."""
+    long = forms.select("norm", F.explode("grams").alias("gram"))
     seen = long.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     total = forms.agg(F.count(F.lit(1)).alias("n")).first().n  # one number
-    vectors = long.join(seen, "gram").groupBy("norm").agg(F.first("houses").alias("houses"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    return vectors.select("norm", "houses", F.col("g.gram").alias("grams"), F.transform("g.df", lambda d: F.log(F.lit(1.0 + total) / d)).alias("raw_w"))
-
-
-def candidates(forms: DataFrame, similarity: float) -> DataFrame:
-    """x, y, and the vectors of both, of the addresses that share a house number and an indexed gram."""
-    vectors = weighted(forms)
+    vectors = long.join(seen, "gram").groupBy("norm").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    whole = forms.select("norm", "where", "houses").join(vectors, "norm").select("norm", "where", "houses", F.transform("g.gram", lambda g: F.xxhash64(g)).alias("codes"), F.transform("g.df", lambda d: F.log(F.lit(1.0 + total) / d)).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             weights, prefix = [], []
-            for w in b.column(3):
+            for w in b.column(4):
                 v = np.array(w.values, np.float64)
                 v = v / max(np.sqrt((v * v).sum()), 1e-12)
                 rest = np.sqrt(np.maximum(0.0, 1.0 - np.concatenate(([0.0], np.cumsum(v * v)[:-1]))))
                 weights.append(v.astype(np.float32))
                 prefix.append(int((rest >= similarity - 1e-9).sum()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(weights, pa.list_(pa.float32())), pa.array(prefix, pa.int32())], ["norm", "houses", "grams", "w", "prefix"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(weights, pa.list_(pa.float32())), pa.array(prefix, pa.int32())], ["norm", "where", "houses", "codes", "w", "prefix"])
 
-    sized = cut(vectors.mapInArrow(run, "norm string, houses array<string>, grams array<string>, w array<float>, prefix int").withColumn("aid", F.monotonically_increasing_id()))
-    post = sized.select("aid", F.explode("houses").alias("house"), F.slice("grams", F.lit(1), F.col("prefix")).alias("g")).select("aid", "house", F.explode("g").alias("gram"))
-    met = post.select(F.col("aid").alias("i"), "house", "gram").join(post.select(F.col("aid").alias("j"), "house", "gram"), ["house", "gram"]).where(F.col("i") < F.col("j"))
-    pairs = met.select("i", "j").distinct()
-    side = lambda a, p: sized.select(F.col("aid").alias(a), F.col("norm").alias(p), F.col("grams").alias(f"{p}g"), F.col("w").alias(f"{p}w"))
-    return pairs.join(side("i", "x"), "i").join(side("j", "y"), "j").select("x", "y", "xg", "xw", "yg", "yw")
+    return whole.mapInArrow(run, "norm string, where string, houses array<string>, codes array<bigint>, w array<float>, prefix int").withColumn("aid", F.monotonically_increasing_id())
 
 
-def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY, slack: int = SLACK) -> DataFrame:
-    """id_a, id_b, similarity: records whose addresses denote one place (0.0: through a third address)."""
-    placed = df.select(F.col(key).cast("string").alias("id"), F.col(address).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
-    forms = cut(address_forms(placed, "raw"))
-    texts = forms.select("norm", "houses", "grams").dropDuplicates(["norm"])
+def candidates(sized: DataFrame) -> DataFrame:
+    """i, j of the addresses that share a house number and an indexed gram."""
+    post = sized.select("aid", F.explode("houses").alias("house"), F.slice("codes", F.lit(1), F.col("prefix")).alias("g")).select("aid", F.explode(F.transform("g", lambda g: F.xxhash64(F.col("house"), g))).alias("key"))
+    return post.select(F.col("aid").alias("i"), "key").join(post.select(F.col("aid").alias("j"), "key"), "key").where(F.col("i") < F.col("j")).select("i", "j").distinct()
+
+
+def cosines(xg: pa.ListArray, xw: pa.ListArray, yg: pa.ListArray, yw: pa.ListArray) -> np.ndarray:
+    """Scalar products of many pairs of sparse vectors at once."""
+
+    def flat(codes: pa.ListArray, weights: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        pair = np.repeat(np.arange(len(codes)), codes.value_lengths().to_numpy(zero_copy_only=False))
+        return pair, codes.flatten().to_numpy(zero_copy_only=False), weights.flatten().to_numpy(zero_copy_only=False)
+
+    (p, g, w), (q, h, v) = flat(xg, xw), flat(yg, yw)
+    pairs, code, weight = np.concatenate((p, q)), np.concatenate((g, h)), np.concatenate((w, v)).astype(np.float64)
+    order = np.lexsort((code, pairs))  # a gram occurs once in a vector, so equal neighbours are one of each
+    pairs, code, weight = pairs[order], code[order], weight[order]
+    met = np.flatnonzero((pairs[1:] == pairs[:-1]) & (code[1:] == code[:-1]))
+    return np.bincount(pairs[met], weights=weight[met] * weight[met + 1], minlength=len(xg))
+
+
+def _verified(pairs: DataFrame, sized: DataFrame, similarity: float) -> DataFrame:
+    """i, j, similarity of the candidates that are similar enough and don't contradict each other."""
+    side = lambda i, p: sized.select(F.col("aid").alias(i), F.col("where").alias(f"{p}p"), F.col("codes").alias(f"{p}g"), F.col("w").alias(f"{p}w"))
+    full = pairs.join(side("i", "x"), "i").join(side("j", "y"), "j").select("i", "j", "xp", "yp", "xg", "xw", "yg", "yw")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for x, y, xg, xw, yg, yw in zip(*[c.to_pylist() for c in b.columns]):
-                other = dict(zip(yg, yw))
-                cosine = sum(w * other.get(g, 0.0) for g, w in zip(xg, xw))
-                if cosine >= similarity and same_place(parse_address(x), parse_address(y)):
-                    out.append((x, y, round(cosine, 6)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["x", "y", "similarity"])
+            cosine = cosines(*b.columns[4:])
+            b = pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(np.round(cosine, 6))], ["i", "j", "xp", "yp", "similarity"]).filter(pa.array(cosine >= similarity))
+            keep = [same_place(unpacked_place(x), unpacked_place(y)) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_())).select(["i", "j", "similarity"])
+
+    return full.mapInArrow(run, "i long, j long, similarity double")
+
 
-    same = cut(candidates(texts, similarity).mapInArrow(run, "x string, y string, similarity double"))
+def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY, slack: int = SLACK) -> DataFrame:
+    """id_a, id_b, similarity: records whose addresses denote one place (0.0: through a third address)."""
+    placed = df.select(F.col(key).cast("string").alias("id"), F.col(address).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
+    forms = cut(address_forms(placed, "raw"))
+    sized = cut(weighted(forms.select("norm", "where", "houses", "grams").dropDuplicates(["norm"]), similarity))
+    same = cut(_verified(candidates(sized), sized, similarity))
 
     def bridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [same_place(parse_address(x), parse_address(y), slack) for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-            yield b.filter(pa.array(keep, pa.bool_()))
+            keep = [same_place(unpacked_place(x), unpacked_place(y), slack) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield b.filter(pa.array(keep, pa.bool_())).select(["i", "j"])
 
     if slack:
-        ordered = same.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        same = same.unionByName(two_steps(ordered).mapInArrow(bridge, "x string, y string").withColumn("similarity", F.lit(0.0)))
-    alike = forms.select(F.col("norm").alias("x"), F.col("norm").alias("y"), F.lit(1.0).alias("similarity")).distinct()
+        part = lambda i, p: sized.select(F.col("aid").alias(i), F.col("where").alias(p))
+        steps = two_steps(same, "i", "j").join(part("i", "xp"), "i").join(part("j", "yp"), "j").select("i", "j", "xp", "yp")
+        same = same.unionByName(steps.mapInArrow(bridge, "i long, j long").withColumn("similarity", F.lit(0.0)))
+    # an address without words or numbers has no vector and is alike only to itself
     ids = placed.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
-    both = same.unionByName(alike).join(ids.select(F.col("norm").alias("x"), F.col("id").alias("p")), "x").join(ids.select(F.col("norm").alias("y"), F.col("id").alias("q")), "y").where(F.col("p") != F.col("q"))
+    known = ids.join(sized.select("norm", "aid"), "norm", "left")
+    side = lambda p, *on: known.select(*on, F.col("id").alias(p))
+    met = same.join(side("p", F.col("aid").alias("i")), "i").join(side("q", F.col("aid").alias("j")), "j").select("p", "q", "similarity")
+    alike = side("p", "norm").join(side("q", "norm"), "norm").where("p < q").select("p", "q", F.lit(1.0).alias("similarity"))
+    both = met.unionByName(alike).where(F.col("p") != F.col("q"))
     return both.groupBy(F.least("p", "q").alias("id_a"), F.greatest("p", "q").alias("id_b")).agg(F.max("similarity").alias("similarity"))
