@@ -8,7 +8,7 @@ from weft.operators import audit, blocking, evaluate, features, labels, model, r
 from weft.operators.blocking import BlockingConfig
 from weft.plans import linkage
 from weft.sources import files
-from weft.streaming.targets import merge_top, score_batch, score_stream
+from weft.streaming.targets import merge_top, score_stream
 
 DATA = "/root/testdata/sf0.001"
 RAW = "row_no bigint, entity_id string, business_name string, business_address string, country string"
@@ -66,7 +66,9 @@ def test_contract(spark, lists, rec):
 
 def test_labels(spark):
     truth = spark.createDataFrame([("S1-1", "S2-1, S3-2"), ("S1-2", "S2-1,S2-1"), ("S1-3", ""), ("S1-4", None), ("S1-1", "S2-1, S3-2")], "source1_entity_id string, matched_entity_ids string")
-    assert rows(labels.owners(labels.truth_pairs(truth)), "source", "num", "owner") == [(2, 1, 2), (3, 2, 1)]
+    assert rows(labels.owners(truth), "source", "num", "owner") == [(2, 1, 2), (3, 2, 1)]
+    placed = truth.where("matched_entity_ids <> ''").coalesce(1).withColumn(labels.ORDER, F.monotonically_increasing_id())
+    assert rows(labels.owners(placed), "source", "num", "owner") == [(2, 1, 1), (3, 2, 1)]  # the last row wins, not the larger number
     assert rows(labels.true_counts(truth), "s1", "n_true") == [(1, 2), (2, 1), (3, 0), (4, 0)]
     assert rows(audit.origin_classes(truth), "origin", "n_rows") == [("both", 2), ("s2_only", 1), ("singleton", 2)]
     w = labels.class_weights(spark.createDataFrame([(1,), (0,), (0,)], "label int"), positive_mass=10.0, negative_mass=4.0)
@@ -100,7 +102,8 @@ def test_threshold_scan_against_brute_force(spark, seed):
 def test_entities_without_pairs_count(spark):
     pairs = spark.createDataFrame([(1, 1, 1.0)], "s1 int, label int, x double")
     truth = spark.createDataFrame([(1, 1), (2, 0), (3, 2)], "s1 int, n_true int")
-    s = evaluate.summary(evaluate.entity_scores(pairs, truth, F.col("x") > 0), "all").first()
+    s = evaluate.experiments(pairs, truth, {"all": F.col("x") > 0}).first()
+    assert s.candidate_recall == pytest.approx(1 / 3)
     assert (s.precision, s.recall, s.macro_f05, s.singleton_accuracy, s.non_singleton_f05) == pytest.approx((1, 1 / 3, 2 / 3, 1, 0.5))
     assert evaluate.threshold_scan(pairs.withColumnRenamed("x", "score").limit(0), truth.limit(0)).count() == 0
     assert evaluate.choose_model({"logistic": (0.5, 1.0), "trees": (0.5, 2.0)}) == ("trees", 2.0)
@@ -211,7 +214,7 @@ def test_stream_equals_batch(spark, lists, tmp_path):
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     score_stream(master, stream, config, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     got = merge_top(None, spark.read.parquet(str(tmp_path / "out")).drop("batch"), config)
-    want = blocking.top_candidates(score_batch(master, raw, config), config)
+    want = blocking.top_candidates(blocking.stages(master.unionByName(records.prepared(records.entities(raw))), config)["ranked"], config)
     cols = ("s1", "source", "num", "position")
     assert rows(got, *cols) == rows(want, *cols)
 
@@ -229,3 +232,26 @@ def test_core_stands_without_the_training_data_operators():
         for node in ast.walk(ast.parse(path.read_text())):
             names = [a.name for a in node.names] if isinstance(node, ast.Import) else [node.module or ""] if isinstance(node, ast.ImportFrom) else []
             assert not any("llm" in n for n in names), path
+
+
+def test_a_model_goes_through_its_file(spark, tmp_path):
+    path = str(tmp_path / "model")
+    for text in (linkage.FIXED_LOGISTIC, linkage.FIXED_TREES):
+        files.write_document(spark, text, path)
+        kind, threshold, intercept, body = model.load_model_text(files.read_document(spark, path))
+        assert model.save_model_text(kind, threshold, intercept, body) == model.save_model_text(*model.load_model_text(text)) and body
+    assert model.load_model_text("")[1] == float("inf")
+
+
+def test_threshold_ranges_don_t_change_the_scan(spark):
+    """Many scores over few ranges and the other way round."""
+    rnd = random.Random(8)
+    pairs = spark.createDataFrame([(rnd.randrange(40), int(rnd.random() < 0.4), rnd.randrange(900) / 7) for _ in range(600)], "s1 int, label int, score double")
+    truth = pairs.groupBy("s1").agg(F.sum("label").alias("n_true"))
+    got = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for parts in ("1", "7", "64"):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got.append({round(r.threshold, 6): round(r.macro_f05, 9) for r in evaluate.threshold_scan(pairs, truth).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == got[1] == got[2]

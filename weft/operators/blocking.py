@@ -85,12 +85,21 @@ def blocking_keys(rec: DataFrame, rare: DataFrame, config: BlockingConfig) -> Da
     return whole.unionByName(single).unionByName(compound_values(rare).select("tag", "country", "val", "source", "num"))
 
 
-def block_hits(keys: DataFrame, config: BlockingConfig) -> DataFrame:
+KEY = ("tag", "country", "val")
+
+
+def capped_keys(keys: DataFrame, config: BlockingConfig) -> DataFrame:
+    """tag, country, val, s1: the master records' keys that at most ``max_bucket`` of them share.
+
+    The bucket is counted over the key's partition, which the join that follows finds as it needs it.
+    """
+    master = keys.where(F.col("source") == 1).select(*KEY, F.col("num").alias("s1"))
+    return master.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*KEY))).where(F.col("n") <= config.max_bucket).drop("n")
+
+
+def block_hits(master_keys: DataFrame, keys: DataFrame) -> DataFrame:
     """tag, s1, source, num: a row for each key that a target shares with a master record."""
-    key = ["tag", "country", "val"]
-    master = keys.where(F.col("source") == 1).select(*key, F.col("num").alias("s1"))
-    small = master.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= config.max_bucket).select(*key)
-    return master.join(small, key, "left_semi").join(keys.where(F.col("source") > 1), key).select("tag", "s1", "source", "num")
+    return master_keys.join(keys.where(F.col("source") > 1), [*KEY]).select("tag", "s1", "source", "num")
 
 
 def evidence(hits: DataFrame) -> DataFrame:
@@ -143,7 +152,23 @@ def stages(rec: DataFrame, config: BlockingConfig, materialize: bool = False) ->
     rare = rare_values(values, df, config)
     rare = cut(rare) if materialize else rare
     keys = blocking_keys(rec, rare, config)
-    hits = block_hits(keys, config)
+    hits = block_hits(capped_keys(keys, config), keys)
     ev = evidence(hits)
     scored = ranked(kept(ev), rec, config)
     return {"values": values, "df": df, "rare": rare, "compound": compound_values(rare), "keys": keys, "hits": hits, "evidence": ev, "kept": kept(ev), "ranked": scored, "top": top_candidates(scored, config)}
+
+
+def master_index(master: DataFrame, config: BlockingConfig) -> tuple[DataFrame, DataFrame]:
+    """Document frequencies and capped keys of the master records, written once for any number of target batches."""
+    values = long_values(master)
+    df = cut(document_frequency(values).where(F.col("df") <= config.max_df))
+    return df, cut(capped_keys(blocking_keys(master, rare_values(values, df, config), config), config))
+
+
+def scored_targets(master: DataFrame, index: tuple[DataFrame, DataFrame], targets: DataFrame, config: BlockingConfig) -> DataFrame:
+    """Ranked pairs of a batch of prepared targets with the indexed master records. The work follows the batch and what it meets."""
+    df, master_keys = index
+    keys = blocking_keys(targets, rare_values(long_values(targets), df, config), config)
+    pairs = kept(evidence(block_hits(master_keys, keys)))
+    met = master.join(pairs.select(F.col("s1").alias("num")).distinct(), "num", "left_semi")
+    return ranked(pairs, met.unionByName(targets), config)

@@ -10,6 +10,7 @@ from weft.functions import text as T
 from weft.functions import unicode as U
 from weft.functions.hashing import validation_fold
 
+# Names and order of the features of pairs and of the noise indicators.
 FEATURES = (
     "source", "name_exact", "address_exact", "name_token_jaccard", "name_qgram_dice", "name_edit", "name_containment", "name_length_ratio",
     "address_token_jaccard", "address_qgram_dice", "address_edit", "address_containment", "address_length_ratio",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions import text as T
+from weft.functions.hashing import validation_fold
 
 
 def truth_rows(truth: DataFrame) -> DataFrame:
@@ -18,9 +19,16 @@ def truth_pairs(truth: DataFrame) -> DataFrame:
     return truth_rows(truth).select("s1", F.explode("ids").alias("id")).select("s1", T.entity_source(F.col("id")).alias("source"), T.entity_number(F.col("id")).alias("num"))
 
 
-def owners(pairs: DataFrame) -> DataFrame:
-    """source, num, owner: a target listed under several master records belongs to the last of them."""
-    return pairs.groupBy("source", "num").agg(F.max("s1").alias("owner"))
+#: column with a row's place in the truth file, where it is known (``sources.files.in_file_order``)
+ORDER = "_weft_at"
+
+
+def owners(truth: DataFrame) -> DataFrame:
+    """source, num, owner: a target listed under several master records belongs to the last listed; to the largest number where the rows have no order."""
+    s1 = T.entity_number(F.col("source1_entity_id"))
+    at = F.col(ORDER) if ORDER in truth.columns else s1
+    listed = truth.where(F.col("source1_entity_id").isNotNull()).select(s1.alias("s1"), at.alias("at"), F.explode(T.id_list(F.col("matched_entity_ids"))).alias("id"))
+    return listed.groupBy(T.entity_source(F.col("id")).alias("source"), T.entity_number(F.col("id")).alias("num")).agg(F.max_by("s1", F.struct("at", "s1")).alias("owner"))
 
 
 def true_counts(truth: DataFrame) -> DataFrame:
@@ -28,6 +36,11 @@ def true_counts(truth: DataFrame) -> DataFrame:
     return truth_rows(truth).select("s1", F.size("ids").alias("n")).groupBy("s1").agg(F.sum("n").alias("n_true"))
 
 
+def held_out(counts: DataFrame, master: DataFrame) -> DataFrame:
+    """The counts of the validation fold: labelled records that exist (master: num) and whose number draws fold 1."""
+    return counts.where(validation_fold(F.col("s1")) == 1).join(master.select(F.col("num").alias("s1")), "s1", "left_semi")
+
+
 def labelled(pairs: DataFrame, owner: DataFrame) -> DataFrame:
     """Pairs with label 1 where the target's owner is the pair's master record."""
     return pairs.join(owner, ["source", "num"], "left").withColumn("label", F.coalesce((F.col("owner") == F.col("s1")).cast("int"), F.lit(0))).drop("owner")
@@ -35,7 +48,7 @@ def labelled(pairs: DataFrame, owner: DataFrame) -> DataFrame:
 
 def positive_pairs(truth: DataFrame, rec: DataFrame) -> DataFrame:
     """s1, source, num, hits=5 of every owned target of which both records exist."""
-    own = owners(truth_pairs(truth)).select(F.col("owner").alias("s1"), "source", "num")
+    own = owners(truth).select(F.col("owner").alias("s1"), "source", "num")
     master = rec.where(F.col("source") == 1).select(F.col("num").alias("s1"))
     targets = rec.where(F.col("source") > 1).select("source", "num")
     return own.join(master, "s1", "left_semi").join(targets, ["source", "num"], "left_semi").withColumn("hits", F.lit(5))

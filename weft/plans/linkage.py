@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from weft.functions import similarity as S
@@ -9,7 +11,8 @@ from weft.functions import text as T
 from weft.functions.hashing import splitmix64, unsigned_mod, validation_fold
 from weft.operators import audit, blocking, evaluate, features, labels, model, records
 from weft.operators.blocking import BlockingConfig
-from weft.session import cut, table
+from weft.session import cut, shared_path, table
+from weft.sources import files
 
 CONFIG = BlockingConfig()
 #: limits of a whole inference run; CONFIG's are those of the training stage and of the stages' SQL
@@ -35,7 +38,7 @@ def rec(spark, sf):
 
 
 def truth(spark, sf):
-    return table(spark, sf, "train_matches")
+    return files.in_file_order(table(spark, sf, "train_matches"), labels.ORDER)
 
 
 def stage(name):
@@ -61,6 +64,11 @@ def splitmix_fold(spark, sf):
     return records.entities(records.latest(raw(spark, sf, 1))).select("num", F.lpad(F.hex(h), 16, "0").alias("hash_hex"), unsigned_mod(h, 5).cast("int").alias("mod5"), validation_fold(F.col("num")).alias("fold"))
 
 
+def noise_pair_ids(spark, sf):
+    """Which pairs the noise sample takes: the matches of the sampled records, and one pooled non-match each."""
+    return audit.noise_pairs(records.latest(raw(spark, sf, 1)), _noise_targets(spark, sf), truth(spark, sf), modulus=2).select("label", "s1", "target")
+
+
 def crc_sample(spark, sf):
     return audit.crc_sample(records.latest(raw(spark, sf, 1)), 20).select("entity_id")
 
@@ -117,8 +125,15 @@ def sample_normalizer(spark, sf):
 
 
 # similarities, on the labelled pairs
+def _labelled_records(spark, sf):
+    """The records of both sides that the truth names, prepared; the rest isn't."""
+    pairs = labels.truth_pairs(truth(spark, sf))
+    named = pairs.select(F.lit(1).alias("source"), F.col("s1").alias("num")).unionByName(pairs.select("source", "num")).distinct()
+    return cut(records.prepared(entities(spark, sf).join(named, ["source", "num"], "left_semi")))
+
+
 def _truth_pairs(spark, sf):
-    r = cut(rec(spark, sf))
+    r = _labelled_records(spark, sf)
     cols = ("name_norm", "addr_norm", "name_toks", "addr_toks", "name_grams", "addr_grams")
     a = r.where("source = 1").select(F.col("num").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in cols])
     b = r.where("source > 1").select("source", "num", *[F.col(c).alias(f"b_{c}") for c in cols])
@@ -192,8 +207,7 @@ def candidate_counters(spark, sf):
     r = cut(rec(spark, sf))
     st = blocking.stages(r, CONFIG, materialize=True)
     ranked = cut(st["ranked"])
-    pairs = labels.truth_pairs(truth(spark, sf))
-    own = labels.owners(pairs)
+    own = labels.owners(truth(spark, sf))
     count = lambda df, *more: df.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("true"), *more).first()
     before = count(labels.labelled(ranked.select("s1", "source", "num"), own))
     after = count(labels.labelled(blocking.top_candidates(ranked, CONFIG).select("s1", "source", "num"), own))
@@ -206,18 +220,18 @@ def candidate_counters(spark, sf):
 
 # labels and features
 def owner_last_wins(spark, sf):
-    return labels.owners(labels.truth_pairs(truth(spark, sf)))
+    return labels.owners(truth(spark, sf))
 
 
 def label_pairs(spark, sf):
-    own = labels.owners(labels.truth_pairs(truth(spark, sf)))
+    own = labels.owners(truth(spark, sf))
     return labels.labelled(stage("top")(spark, sf).select("s1", "source", "num"), own)
 
 
 def _features(spark, sf, neutral=False):
     r, top = _top(spark, sf)
     known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
-    own = labels.owners(labels.truth_pairs(truth(spark, sf)))
+    own = labels.owners(truth(spark, sf))
     return features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=neutral)
 
 
@@ -230,8 +244,13 @@ def pair_features(spark, sf):
 
 
 def all_positive_features(spark, sf):
-    r = cut(rec(spark, sf))
-    f = features.pair_features(labels.positive_pairs(truth(spark, sf), r), r)
+    """Features of every owned pair; raises where fewer or more are written than there are owners with both records."""
+    r = _labelled_records(spark, sf)
+    f = cut(features.pair_features(labels.positive_pairs(truth(spark, sf), r), r))
+    ids = entities(spark, sf).select("source", "num")
+    owned = labels.owners(truth(spark, sf)).join(ids, ["source", "num"], "left_semi").join(ids.where("source = 1").select(F.col("num").alias("owner")), "owner", "left_semi")
+    if (wrote := f.count()) != (wanted := owned.count()):
+        raise RuntimeError(f"{wrote} rows written for {wanted} owners")
     return _rounded(f.withColumn("fold", F.lit(0)).withColumn("label", F.lit(1)))
 
 
@@ -246,7 +265,7 @@ def class_weights(spark, sf):
 
 def _mined(spark, sf, r, top):
     known = labels.truth_rows(truth(spark, sf)).select("s1").distinct()
-    own = labels.owners(labels.truth_pairs(truth(spark, sf)))
+    own = labels.owners(truth(spark, sf))
     return cut(features.pair_features(top.join(known, "s1", "left_semi"), r, own, neutral_hits=True))
 
 
@@ -265,20 +284,23 @@ def final_fit_rows(spark, sf):
     return weighted.select("s1_id", "target_id", "label", "retrieval_hits", F.round("weight", 6).alias("weight"))
 
 
-# evaluation over all labelled entities
+# evaluation on the validation fold
+def _counts(spark, sf):
+    return labels.held_out(labels.true_counts(truth(spark, sf)), master(spark, sf))
+
+
 def _validation(spark, sf):
-    f = cut(_features(spark, sf, neutral=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
-    return f, labels.true_counts(truth(spark, sf))
+    f = _features(spark, sf, neutral=True).where("fold = 1")
+    return cut(f.withColumn("s1", T.entity_number(F.col("s1_id")))), _counts(spark, sf)
 
 
 def candidate_stats(spark, sf):
     f, t = _validation(spark, sf)
-    total = entities(spark, sf).where("source > 1").count()
-    s = evaluate.candidate_statistics(f.select("s1", "label"), t, total)
+    s = evaluate.candidate_statistics(f.select("s1", "label"), t, files.line_count(raw(spark, sf, 2), raw(spark, sf, 3)))
     return s.select("entities", "max_candidates", *[F.round(c, 6).alias(c) for c in ("mean_candidates", "median_candidates", "p95_candidates", "candidate_recall", "reduction_ratio")])
 
 
-_METRICS = ("precision", "recall", "macro_f05", "singleton_accuracy", "non_singleton_f05", "avg_candidates")
+_METRICS = ("candidate_recall", "precision", "recall", "macro_f05", "singleton_accuracy", "non_singleton_f05", "avg_candidates")
 
 
 def rules_abc_metrics(spark, sf):
@@ -345,9 +367,16 @@ def reservoir_first_n(spark, sf):
     return audit.first_per_country(both, 50).select("country", "position", "source", "row_no")
 
 
+def audit_duplicate_ids(spark, sf):
+    return audit.duplicate_counts(raw(spark, sf, 1)).where("what = 'id'")
+
+
+def _noise_targets(spark, sf):
+    return records.latest(raw(spark, sf, 2)).unionByName(records.latest(raw(spark, sf, 3))).withColumn("source", T.entity_source(F.col("entity_id"))).withColumn("row_no", T.entity_number(F.col("entity_id")))
+
+
 def _noise(spark, sf):
-    targets = records.latest(raw(spark, sf, 2)).unionByName(records.latest(raw(spark, sf, 3))).withColumn("source", T.entity_source(F.col("entity_id"))).withColumn("row_no", T.entity_number(F.col("entity_id")))
-    return features.noise_indicators(audit.noise_pairs(records.latest(raw(spark, sf, 1)), targets, truth(spark, sf), modulus=2))
+    return features.noise_indicators(audit.noise_pairs(records.latest(raw(spark, sf, 1)), _noise_targets(spark, sf), truth(spark, sf), modulus=2))
 
 
 def noise_pairs(spark, sf):
@@ -378,8 +407,7 @@ def gbt_scores(spark, sf):
 def experiments(spark, sf):
     """The three rules and both learned matchers at their best thresholds on the validation fold."""
     f = cut(_features(spark, sf, neutral=True).withColumn("s1", T.entity_number(F.col("s1_id"))))
-    fit, held = labels.fitting_sample(f), f.where("fold = 1")
-    counts = labels.true_counts(truth(spark, sf)).where(validation_fold(F.col("s1")) == 1)
+    fit, held, counts = labels.fitting_sample(f), f.where("fold = 1"), _counts(spark, sf)
     intercept, weights = model.fit_logistic(fit)
     baseline, nodes = model.fit_trees(fit, **TREES)
     scored = cut(model.tree_scores(model.logistic_scores(held, intercept, weights).withColumnRenamed("score", "logistic"), baseline, nodes).withColumnRenamed("score", "trees"))
@@ -390,30 +418,85 @@ def experiments(spark, sf):
     return evaluate.experiments(scored, counts, predicted).select("experiment", *[F.round(c, 6).alias(c) for c in _METRICS])
 
 
-def _fitted(kind, rows, weight=None):
-    """What scores features by a model of this kind, fitted on ``rows``."""
-    if kind == "logistic":
-        fit, score = model.fit_logistic(rows, weight=weight), model.logistic_scores
-    else:
-        fit, score = model.fit_trees(rows, weight=weight, **TREES), model.tree_scores
-    return lambda f: score(f, *fit).withColumn("score", F.round("score", 6))
+def _fitted(kind, rows, threshold=float("inf"), weight=None):
+    """A model of this kind, fitted on ``rows``, as text."""
+    fit = model.fit_logistic(rows, weight=weight) if kind == "logistic" else model.fit_trees(rows, weight=weight, **TREES)
+    return model.save_model_text(kind, threshold, *fit)
 
 
-def final_matches(spark, sf):
-    """Choose kind and threshold on the validation fold, refit that kind on the rows of the final fit, score all candidates of a whole run."""
-    r, top = _top(spark, sf)
-    mined = _mined(spark, sf, r, top)
-    counts = labels.true_counts(truth(spark, sf)).where(validation_fold(F.col("s1")) == 1)
+def _chosen(spark, sf, mined):
+    """Kind, macro F0.5 and threshold of the better model on the validation fold, and both by kind."""
+    counts = _counts(spark, sf)
     held = mined.where("fold = 1").withColumn("s1", T.entity_number(F.col("s1_id")))
     found = {}
     for kind in ("logistic", "trees"):
-        scored = cut(_fitted(kind, labels.fitting_sample(mined))(held).select("s1", "label", "score"))
+        scored = cut(model.text_scores(held, _fitted(kind, labels.fitting_sample(mined))).select("s1", "label", F.round("score", 6).alias("score")))
         best = evaluate.best_threshold(evaluate.threshold_scan(scored, counts)).first()
         found[kind] = (best.macro_f05, best.threshold) if best is not None else (0.0, float("inf"))
-    kind, threshold = evaluate.choose_model(found)
-    score = _fitted(kind, cut(_final_rows(spark, sf, r, mined)), "weight")
+    return (*evaluate.choose_model(found), found)
+
+
+def final_matches(spark, sf):
+    """Choose kind and threshold on the validation fold, refit that kind on the rows of the final fit, write the model as text, and score all candidates of a whole run with what is read back."""
+    r, top = _top(spark, sf)
+    mined = _mined(spark, sf, r, top)
+    kind, threshold, _ = _chosen(spark, sf, mined)
+    path = shared_path(spark, "final-model")
+    files.write_document(spark, _fitted(kind, cut(_final_rows(spark, sf, r, mined)), threshold, "weight"), path)
     every = features.pair_features(blocking.stages(r, FULL)["top"], r, neutral_hits=True)
-    return model.final_matches(master(spark, sf), score(every).select("s1_id", "target_id", "score"), threshold)
+    return model.text_matches(master(spark, sf), every, files.read_document(spark, path))
+
+
+# a fixed model, so that scoring, threshold and lists have SQL counterparts
+FIXED_LOGISTIC = model.save_model_text("logistic", 1.5, -4.0, [0.25 * (i % 5) - 0.25 for i in range(len(features.FEATURES))])
+FIXED_TREES = """type trees
+threshold 0.5
+baseline -0.25
+trees 2
+tree 5
+node 19 0.625 1 2 0 0 0
+node 0 0 0 0 -1.5 1 0
+node 13 0.5 3 4 0 0 1
+node 0 0 0 0 0.375 1 0
+node 0 0 0 0 1.75 1 0
+tree 3
+node 8 0.3125 1 2 0 0 0
+node 0 0 0 0 -0.125 1 0
+node 0 0 0 0 0.5 1 0
+"""
+
+
+def _fixed(spark, sf, text):
+    return model.text_scores(_features(spark, sf, neutral=True), text)
+
+
+def fixed_logistic_scores(spark, sf):
+    return _fixed(spark, sf, FIXED_LOGISTIC).select("s1_id", "target_id", F.round("score", 6).alias("score"))
+
+
+def fixed_tree_scores(spark, sf):
+    return _fixed(spark, sf, FIXED_TREES).select("s1_id", "target_id", F.round("score", 6).alias("score"))
+
+
+def fixed_model_matches(spark, sf):
+    """Match lists of the fixed trees over the labelled records' candidates, the model through its file."""
+    path = shared_path(spark, "fixed-model")
+    files.write_document(spark, FIXED_TREES, path)
+    return model.text_matches(master(spark, sf), _features(spark, sf, neutral=True), files.read_document(spark, path))
+
+
+def metrics_document(spark, sf):
+    """The run's metrics as one JSON document: chosen model, its macro F0.5 by country and multiplicity, candidate statistics."""
+    r, top = _top(spark, sf)
+    mined = _mined(spark, sf, r, top)
+    kind, threshold, found = _chosen(spark, sf, mined)
+    held, counts = mined.where("fold = 1").withColumn("s1", T.entity_number(F.col("s1_id"))), _counts(spark, sf)
+    scored = cut(model.text_scores(held, _fitted(kind, labels.fitting_sample(mined), threshold)).withColumn("score", F.round("score", 6)))
+    per = cut(evaluate.entity_scores(scored, counts, F.col("score") >= F.lit(threshold)).join(r.where("source = 1").select(F.col("num").alias("s1"), "country"), "s1"))
+    means = lambda c: {str(x[0]): x[1] for x in per.groupBy(c).agg(F.round(F.avg("f05"), 6)).collect()}  # noqa: E731  a row per country or multiplicity
+    stats = evaluate.candidate_statistics(held.select("s1", "label"), counts, files.line_count(raw(spark, sf, 2), raw(spark, sf, 3))).first()
+    document = {"model": kind, "threshold": threshold if threshold != float("inf") else None, "macro_f05": {k: round(v[0], 6) for k, v in found.items()}, "by_country": means("country"), "by_multiplicity": means("n_true"), "candidates": stats.asDict()}
+    return spark.createDataFrame([(json.dumps(document, indent=2, ensure_ascii=False),)], "document string")
 
 
 QUERIES = {
@@ -431,5 +514,6 @@ QUERIES = {
     "threshold_scan": threshold_scan, "best_threshold": best_threshold,
     "audit_missing": audit_missing, "audit_countries": audit_countries, "audit_duplicates": audit_duplicates, "match_histogram": match_histogram, "origin_classes": origin_classes,
     "reservoir_first_n": reservoir_first_n, "noise_pairs": noise_pairs, "noise_sample_means": noise_sample_means,
+    "noise_pair_ids": noise_pair_ids, "audit_duplicate_ids": audit_duplicate_ids, "fixed_logistic_scores": fixed_logistic_scores, "fixed_tree_scores": fixed_tree_scores, "fixed_model_matches": fixed_model_matches, "metrics_document": metrics_document,
     "logistic_scores": logistic_scores, "gbt_scores": gbt_scores, "experiments": experiments, "final_matches": final_matches,
 }

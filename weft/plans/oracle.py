@@ -6,10 +6,18 @@ takes the part it needs.
 
 from __future__ import annotations
 
-from weft.functions.text import ADDRESS_WORDS, LEGAL_WORDS, TRANSLATE_FROM, TRANSLATE_TO
-from weft.operators.audit import MISSING
-from weft.operators.blocking import EVIDENCE
-from weft.operators.features import FEATURES
+# Fixed values, written out here once more so that a wrong list in an operator shows.
+_LEGAL_WORDS = "inc incorporated corp corporation company co llc limited ltd private pvt plc llp sarl sas sa".split()
+_ADDRESS_WORDS = {"road": "rd", "street": "st", "avenue": "ave", "boulevard": "blvd", "drive": "dr", "lane": "ln", "highway": "hwy", "suite": "ste", "apartment": "apt", "building": "bldg", "floor": "fl"}
+_FROM = "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖØòóôõöøÙÚÛÜùúûüÝŸýÿ‘’–—«»"
+_TO = "abcdefghijklmnopqrstuvwxyzaaaaaaaaaaaacceeeeeeeeiiiiiiiinnoooooooooooouuuuuuuuyyyy      "
+_MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+_EVIDENCE = ("name_tok", "addr_tok", "name_gram", "addr_gram", "name_pair", "addr_pair")
+_FEATURES = (
+    "source", "name_exact", "address_exact", "name_token_jaccard", "name_qgram_dice", "name_edit", "name_containment", "name_length_ratio",
+    "address_token_jaccard", "address_qgram_dice", "address_edit", "address_containment", "address_length_ratio",
+    "numeric_agree", "numeric_conflict", "numeric_overlap_ratio", "postal_agree", "postal_conflict", "retrieval_hits", "best_field", "worst_field",
+)
 
 
 def _q(s: str) -> str:
@@ -17,7 +25,7 @@ def _q(s: str) -> str:
 
 
 def _mapped(c: str) -> str:
-    t = f"translate({c}, {_q(TRANSLATE_FROM)}, {_q(TRANSLATE_TO)})"
+    t = f"translate({c}, {_q(_FROM)}, {_q(_TO)})"
     t = f"regexp_replace({t}, '[\\x{{300}}-\\x{{36F}}]', '', 'g')"
     return f"regexp_replace(replace({t}, '&', ' and '), '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]', ' ', 'g')"
 
@@ -26,8 +34,8 @@ def _words(c: str) -> str:
     return f"list_filter(string_split({c}, ' '), lambda w: w <> '')"
 
 
-_LEGAL = ", ".join(_q(w) for w in LEGAL_WORDS)
-_SHORT = "CASE w " + " ".join(f"WHEN {_q(a)} THEN {_q(b)}" for a, b in ADDRESS_WORDS.items()) + " ELSE w END"
+_LEGAL = ", ".join(_q(w) for w in _LEGAL_WORDS)
+_SHORT = "CASE w " + " ".join(f"WHEN {_q(a)} THEN {_q(b)}" for a, b in _ADDRESS_WORDS.items()) + " ELSE w END"
 
 
 def _grams(c: str) -> str:
@@ -40,7 +48,7 @@ def _latest(k: int) -> str:
 
 
 _NUM = "try_cast(CASE WHEN instr(entity_id, '-') > 0 THEN split_part(entity_id, '-', -1) ELSE entity_id END AS bigint)"
-_E = "e AS (SELECT try_cast(substr(entity_id, 2, 1) AS int) AS source, " + _NUM + " AS num, entity_id, v.n AS name, v.a AS address, v.c AS country FROM (" + " UNION ALL ".join(_latest(k) for k in (1, 2, 3)) + "))"
+_E = "e AS MATERIALIZED (SELECT try_cast(substr(entity_id, 2, 1) AS int) AS source, " + _NUM + " AS num, entity_id, v.n AS name, v.a AS address, v.c AS country FROM (" + " UNION ALL ".join(_latest(k) for k in (1, 2, 3)) + "))"
 _N = f"""n AS (SELECT source, num, entity_id, country,
     array_to_string(list_filter({_words(_mapped('name'))}, lambda w: w NOT IN ({_LEGAL})), ' ') AS name_norm,
     array_to_string(list_transform({_words(_mapped('address'))}, lambda w: {_SHORT}), ' ') AS addr_norm FROM e)"""
@@ -59,7 +67,7 @@ _KEYS = """keys AS MATERIALIZED (
     UNION ALL SELECT tag, country, val, source, num FROM comp)"""
 _HITS = """hits AS MATERIALIZED (SELECT a.tag, a.num AS s1, b.source, b.num FROM keys a JOIN keys b ON a.tag = b.tag AND a.country = b.country AND a.val = b.val
     WHERE a.source = 1 AND b.source > 1 AND (a.tag, a.country, a.val) IN (SELECT (tag, country, val) FROM keys WHERE source = 1 GROUP BY tag, country, val HAVING count(*) <= 20))"""
-_EV = "ev AS MATERIALIZED (SELECT s1, source, num, max((tag = 1)::int) AS name_hit, max((tag = 2)::int) AS addr_hit, " + ", ".join(f"cast(least(15, count(*) FILTER (tag = {t})) AS int) AS {n}" for t, n in enumerate(EVIDENCE, 3)) + " FROM hits GROUP BY s1, source, num)"
+_EV = "ev AS MATERIALIZED (SELECT s1, source, num, max((tag = 1)::int) AS name_hit, max((tag = 2)::int) AS addr_hit, " + ", ".join(f"cast(least(15, count(*) FILTER (tag = {t})) AS int) AS {n}" for t, n in enumerate(_EVIDENCE, 3)) + " FROM hits GROUP BY s1, source, num)"
 _KEPT = """kept AS MATERIALIZED (SELECT *, name_tok + addr_tok + name_gram + addr_gram + 3 * (name_pair + addr_pair) + 5 * greatest(name_hit, addr_hit) AS hits FROM ev
     WHERE name_hit + addr_hit > 0 OR name_pair >= 1 OR addr_pair >= 1 OR (name_tok >= 1 AND name_gram >= 1) OR (addr_tok >= 1 AND addr_gram >= 1) OR name_gram >= 3 OR addr_gram >= 4)"""
 
@@ -81,8 +89,10 @@ _POS = "pos AS MATERIALIZED (SELECT *, cast(row_number() OVER (PARTITION BY s1 O
 _TOP = "topk AS MATERIALIZED (SELECT * FROM pos WHERE position <= 50)"
 _TRUTH = """tr AS (SELECT DISTINCT try_cast(split_part(source1_entity_id, '-', -1) AS bigint) AS s1,
         list_sort(list_distinct(list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(replace(x, chr(13), ''))), lambda x: x <> ''))) AS ids FROM train_matches WHERE source1_entity_id IS NOT NULL),
-    tp AS (SELECT s1, try_cast(substr(id, 2, 1) AS int) AS source, try_cast(split_part(id, '-', -1) AS bigint) AS num FROM (SELECT s1, unnest(ids) AS id FROM tr)),
-    own AS (SELECT source, num, max(s1) AS owner FROM tp GROUP BY source, num),
+    tp AS MATERIALIZED (SELECT s1, try_cast(substr(id, 2, 1) AS int) AS source, try_cast(split_part(id, '-', -1) AS bigint) AS num FROM (SELECT s1, unnest(ids) AS id FROM tr)),
+    tm AS (SELECT try_cast(split_part(source1_entity_id, '-', -1) AS bigint) AS s1, pos, unnest(list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(replace(x, chr(13), ''))), lambda x: x <> '')) AS id
+           FROM (SELECT *, row_number() OVER () AS pos FROM train_matches) WHERE source1_entity_id IS NOT NULL),
+    own AS (SELECT try_cast(substr(id, 2, 1) AS int) AS source, try_cast(split_part(id, '-', -1) AS bigint) AS num, arg_max(s1, pos) AS owner FROM tm GROUP BY 1, 2),
     tc AS (SELECT s1, sum(len(ids)) AS n_true FROM tr GROUP BY s1)"""
 _M64 = "18446744073709551616::uhugeint"
 
@@ -113,7 +123,7 @@ def _contains(x: str, y: str) -> str:
     return f"CASE WHEN {x} = '' OR {y} = '' THEN 0.0::double ELSE (contains({x}, {y}) OR contains({y}, {x}))::int::double END"
 
 
-def _feature_sql(hits: str) -> str:
+def _feature_sql(hits: str, digits: int | None = 6) -> str:
     an, bn, aa, ba = "a.name_norm", "b.name_norm", "a.addr_norm", "b.addr_norm"
     ax, bx = "a.addr_nums", "b.addr_nums"
     ap, bp = (f"list_filter({x}, lambda n: length(n) IN (5, 6))" for x in (ax, bx))
@@ -128,16 +138,32 @@ def _feature_sql(hits: str) -> str:
         "postal_agree": f"({_both(ap, bp)} > 0)::int::double", "postal_conflict": f"(len({ap}) > 0 AND len({bp}) > 0 AND {_both(ap, bp)} = 0)::int::double",
         "retrieval_hits": hits, "best_field": f"greatest({nd}, {ad})", "worst_field": f"least({nd}, {ad})",
     }
-    return ", ".join(f"round({exprs[f]}, 6) AS {f}" for f in FEATURES)
+    return ", ".join(f"round({exprs[f]}, {digits}) AS {f}" if digits else f"{exprs[f]} AS {f}" for f in _FEATURES)
 
 
 _PAIR_JOIN = "JOIN rec a ON a.source = 1 AND a.num = p.s1 JOIN rec b ON b.source = p.source AND b.num = p.num"
 _FEAT = f"""feat AS MATERIALIZED (SELECT p.s1, p.source AS src, p.num, 'S1-' || p.s1 AS s1_id, 'S' || p.source || '-' || p.num AS target_id, fold.fold, coalesce((own.owner = p.s1)::int, 0) AS label, {_feature_sql('least(p.hits, 10) / 10.0::double')}
     FROM topk p {_PAIR_JOIN} JOIN fold ON fold.num = p.s1 LEFT JOIN own ON own.source = p.source AND own.num = p.num WHERE p.s1 IN (SELECT s1 FROM tr))"""
 
+#: the same pairs with features as they are and 0.5 retrieval hits, as a model is scored with
+_UNROUNDED = f"""FROM (SELECT p.s1, p.source AS src, p.num, 'S1-' || p.s1 AS s1_id, 'S' || p.source || '-' || p.num AS target_id, {_feature_sql('0.5::double', None)}
+    FROM topk p {_PAIR_JOIN} WHERE p.s1 IN (SELECT s1 FROM tr))"""
+_TREES = """(-0.25::double + CASE WHEN best_field <= 0.625::double THEN -1.5::double WHEN numeric_agree <= 0.5::double THEN 0.375::double ELSE 1.75::double END
+    + CASE WHEN address_token_jaccard <= 0.3125::double THEN -0.125::double ELSE 0.5::double END)"""
+
+
 _BASE = [_E, _N, _REC]
 _BLOCK = [*_BASE, _VALUES, _DF, _RARE, _COMP, _KEYS, _HITS, _EV, _KEPT, _RANK0, _RANKED, _POS, _TOP]
 _LABEL = [*_BLOCK, _TRUTH, _FOLD, _FEAT]
+_VAL = [*_LABEL, "tv AS (SELECT tc.* FROM tc JOIN fold ON fold.num = tc.s1 WHERE fold.fold = 1)", "vf AS (SELECT * FROM feat WHERE fold = 1)"]
+#: only the records that the truth names
+_NAMED = [_E, _TRUTH, "en AS MATERIALIZED (SELECT * FROM e WHERE (source = 1 AND num IN (SELECT s1 FROM tp)) OR (source, num) IN (SELECT (source, num) FROM tp))", _N.replace("FROM e)", "FROM en)"), _REC]
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i))"
+_CRC = f"crct AS MATERIALIZED (SELECT {_CRC_TABLE} AS tab)"
+
+
+def _crc(id_: str) -> str:
+    return f"xor(list_reduce(list_transform(range(1, length({id_}) + 1), lambda j: ascii(substr({id_}, j::bigint, 1))::bigint), lambda c, b: xor(c >> 8, tab[((xor(c, b) & 255) + 1)::bigint]), 4294967295::bigint), 4294967295::bigint)"
 
 
 def _with(parts: list[str], select: str) -> str:
@@ -156,23 +182,23 @@ _RULES = {
 
 
 def _entities(rule: str) -> str:
-    return f"""(SELECT t.s1, coalesce(n_cand, 0) AS n_cand, coalesce(n_pred, 0) AS n_pred, coalesce(n_tp, 0) AS n_tp, n_true::bigint AS n_true FROM tc t LEFT JOIN
-        (SELECT s1, count(*) AS n_cand, count(*) FILTER ({rule}) AS n_pred, count(*) FILTER (({rule}) AND label = 1) AS n_tp FROM feat GROUP BY s1) p ON p.s1 = t.s1)"""
+    return f"""(SELECT t.s1, coalesce(n_cand, 0) AS n_cand, coalesce(n_pred, 0) AS n_pred, coalesce(n_tp, 0) AS n_tp, coalesce(n_found, 0) AS n_found, n_true::bigint AS n_true FROM tv t LEFT JOIN
+        (SELECT s1, count(*) AS n_cand, count(*) FILTER ({rule}) AS n_pred, count(*) FILTER (({rule}) AND label = 1) AS n_tp, count(*) FILTER (label = 1) AS n_found FROM vf GROUP BY s1) p ON p.s1 = t.s1)"""
 
 
 _SCORED = f"scored AS (SELECT *, {_f05('n_tp', 'n_pred', 'n_true')} AS f05 FROM {_entities(_RULES['B_manual_fuzzy'])})"
-_SCAN = f"""sc AS (SELECT s1, label, round(best_field, 3) AS score FROM feat),
+_SCAN = f"""sc AS (SELECT s1, label, round(best_field, 3) AS score FROM vf),
     ths AS (SELECT DISTINCT score AS threshold FROM sc UNION ALL SELECT 'Infinity'::double),
     pe AS (SELECT threshold, t.s1, any_value(n_true) AS n_true, count(score) FILTER (score >= threshold) AS n_pred, count(score) FILTER (score >= threshold AND label = 1) AS n_tp
-           FROM ths CROSS JOIN tc t LEFT JOIN sc ON sc.s1 = t.s1 GROUP BY threshold, t.s1),
+           FROM ths CROSS JOIN tv t LEFT JOIN sc ON sc.s1 = t.s1 GROUP BY threshold, t.s1),
     macro AS (SELECT threshold, round(avg({_f05('n_tp', 'n_pred', 'n_true')}), 6) AS macro_f05 FROM pe GROUP BY threshold)"""
 
-_MISS = ", ".join(_q(m) for m in MISSING)
+_MISS = ", ".join(_q(m) for m in _MISSING)
 _TPAIR = f"FROM tp p {_PAIR_JOIN}"
 
 
 def _sim(f, name: str, address: str) -> str:
-    return _with([*_BASE, _TRUTH], f"SELECT p.s1, p.source, p.num, round({f(f'a.{name}', f'b.{name}')}, 6) AS name_value, round({f(f'a.{address}', f'b.{address}')}, 6) AS address_value {_TPAIR}")
+    return _with(_NAMED, f"SELECT p.s1, p.source, p.num, round({f(f'a.{name}', f'b.{name}')}, 6) AS name_value, round({f(f'a.{address}', f'b.{address}')}, 6) AS address_value {_TPAIR}")
 
 
 def _block(*tags: int) -> str:
@@ -222,26 +248,40 @@ ORACLE = {
         SELECT s1_id, target_id, label, 0.5::double AS retrieval_hits, round(CASE WHEN label = 1 THEN m.p ELSE m.n END / count(*) OVER (PARTITION BY label), 6) AS weight FROM r, m""").replace("\n, m AS", ", m AS"),
     "owner_last_wins": _with([_TRUTH], "SELECT source, num, owner FROM own"),
     "label_pairs": _with([*_BLOCK, _TRUTH], "SELECT p.s1, p.source, p.num, coalesce((own.owner = p.s1)::int, 0) AS label FROM topk p LEFT JOIN own ON own.source = p.source AND own.num = p.num"),
-    "pair_features": _with(_LABEL, f"SELECT s1_id, target_id, fold, label, {', '.join(FEATURES)} FROM feat"),
-    "all_positive_features": _with([*_BASE, _TRUTH], f"SELECT 'S1-' || p.s1 AS s1_id, 'S' || p.source || '-' || p.num AS target_id, 0 AS fold, 1 AS label, {_feature_sql('0.5::double')} FROM (SELECT owner AS s1, source, num FROM own) p {_PAIR_JOIN}"),
+    "pair_features": _with(_LABEL, f"SELECT s1_id, target_id, fold, label, {', '.join(_FEATURES)} FROM feat"),
+    "all_positive_features": _with(_NAMED, f"SELECT 'S1-' || p.s1 AS s1_id, 'S' || p.source || '-' || p.num AS target_id, 0 AS fold, 1 AS label, {_feature_sql('0.5::double')} FROM (SELECT owner AS s1, source, num FROM own) p {_PAIR_JOIN}"),
     "negative_downsample": _with(_LABEL, "SELECT s1_id, target_id, label, 0.5::double AS retrieval_hits FROM feat WHERE fold = 0 AND (label = 1 OR num % 4 = 0)"),
     "class_weights": _with(_LABEL, "SELECT label, count(*) AS n_rows, CASE WHEN label = 1 THEN count(*)::double ELSE 1000.0::double END AS mass FROM feat WHERE fold = 0 AND (label = 1 OR num % 4 = 0) GROUP BY label"),
-    "candidate_stats": _with(_LABEL, """, pc AS (SELECT t.s1, n_true, coalesce(c, 0) AS c, coalesce(found, 0) AS found FROM tc t LEFT JOIN (SELECT s1, count(*) AS c, sum(label) AS found FROM feat GROUP BY s1) p ON p.s1 = t.s1)
+    "candidate_stats": _with(_VAL, """, pc AS (SELECT t.s1, n_true, coalesce(c, 0) AS c, coalesce(found, 0) AS found FROM tv t LEFT JOIN (SELECT s1, count(*) AS c, sum(label) AS found FROM vf GROUP BY s1) p ON p.s1 = t.s1)
         SELECT count(*) AS entities, max(c) AS max_candidates, round(avg(c), 6) AS mean_candidates, round(quantile_cont(c::double, 0.5), 6) AS median_candidates, round(quantile_cont(c::double, 0.95), 6) AS p95_candidates,
-               round(sum(found)::double / sum(n_true), 6) AS candidate_recall, round(1 - avg(c) / (SELECT count(*) FROM e WHERE source > 1), 6) AS reduction_ratio FROM pc""").replace("\n, pc AS", ", pc AS"),
-    "rules_abc_metrics": _with(_LABEL, " UNION ALL ".join(f"""SELECT '{name}' AS experiment, round(CASE WHEN sum(n_pred) = 0 THEN 1 ELSE sum(n_tp)::double / sum(n_pred) END, 6) AS precision, round(CASE WHEN sum(n_true) = 0 THEN 1 ELSE sum(n_tp)::double / sum(n_true) END, 6) AS recall,
+               round(sum(found)::double / sum(n_true), 6) AS candidate_recall, round(1 - avg(c) / ((SELECT count(*) FROM train_source2) + (SELECT count(*) FROM train_source3)), 6) AS reduction_ratio FROM pc""").replace("\n, pc AS", ", pc AS"),
+    "rules_abc_metrics": _with(_VAL, " UNION ALL ".join(f"""SELECT '{name}' AS experiment, round(CASE WHEN sum(n_true) = 0 THEN 0 ELSE sum(n_found)::double / sum(n_true) END, 6) AS candidate_recall, round(CASE WHEN sum(n_pred) = 0 THEN 1 ELSE sum(n_tp)::double / sum(n_pred) END, 6) AS precision, round(CASE WHEN sum(n_true) = 0 THEN 1 ELSE sum(n_tp)::double / sum(n_true) END, 6) AS recall,
         round(avg(f05), 6) AS macro_f05, round(avg(f05) FILTER (n_true = 0), 6) AS singleton_accuracy, round(avg(f05) FILTER (n_true > 0), 6) AS non_singleton_f05, round(avg(n_cand), 6) AS avg_candidates
         FROM (SELECT *, {_f05('n_tp', 'n_pred', 'n_true')} AS f05 FROM {_entities(rule)})""" for name, rule in _RULES.items())),
-    "fbeta_by_entity": _with([*_LABEL, _SCORED], "SELECT s1, n_cand, n_pred, n_tp, n_true, round(f05, 6) AS f05 FROM scored"),
-    "macro_by_country": _with([*_LABEL, _SCORED], "SELECT country, count(*) AS entities, round(avg(f05), 6) AS macro_f05 FROM scored JOIN e ON e.source = 1 AND e.num = scored.s1 GROUP BY country"),
-    "macro_by_multiplicity": _with([*_LABEL, _SCORED], "SELECT n_true, count(*) AS entities, round(avg(f05), 6) AS macro_f05 FROM scored GROUP BY n_true"),
-    "threshold_scan": _with([*_LABEL, _SCAN], "SELECT threshold, macro_f05 FROM macro"),
-    "best_threshold": _with([*_LABEL, _SCAN], "SELECT threshold, macro_f05 FROM macro ORDER BY macro_f05 DESC, threshold DESC LIMIT 1"),
+    "fbeta_by_entity": _with([*_VAL, _SCORED], "SELECT s1, n_cand, n_pred, n_tp, n_true, round(f05, 6) AS f05 FROM scored"),
+    "macro_by_country": _with([*_VAL, _SCORED], "SELECT country, count(*) AS entities, round(avg(f05), 6) AS macro_f05 FROM scored JOIN e ON e.source = 1 AND e.num = scored.s1 GROUP BY country"),
+    "macro_by_multiplicity": _with([*_VAL, _SCORED], "SELECT n_true, count(*) AS entities, round(avg(f05), 6) AS macro_f05 FROM scored GROUP BY n_true"),
+    "threshold_scan": _with([*_VAL, _SCAN], "SELECT threshold, macro_f05 FROM macro"),
+    "best_threshold": _with([*_VAL, _SCAN], "SELECT threshold, macro_f05 FROM macro ORDER BY macro_f05 DESC, threshold DESC LIMIT 1"),
     "audit_missing": " UNION ALL ".join(f"SELECT {k} AS source, '{c}' AS \"column\", count(*) AS rows, count(*) FILTER ({c} IS NULL OR {c} IN ({_MISS})) AS missing FROM train_source{k}" for k in (1, 2, 3) for c in ("entity_id", "business_name", "business_address", "country")),
     "audit_countries": f"SELECT CASE WHEN country IS NULL OR country IN ({_MISS}) THEN '<MISSING>' ELSE country END AS country, count(*) AS n_rows FROM train_source1 GROUP BY 1",
     "match_histogram": "SELECT len(list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(x)), lambda x: x <> ''))::int AS n_matches, count(*) AS n_rows FROM train_matches GROUP BY 1",
     "origin_classes": """SELECT CASE WHEN a AND b THEN 'both' WHEN a THEN 's2_only' WHEN b THEN 's3_only' ELSE 'singleton' END AS origin, count(*) AS n_rows
         FROM (SELECT contains(coalesce(matched_entity_ids, ''), 'S2-') AS a, contains(coalesce(matched_entity_ids, ''), 'S3-') AS b FROM train_matches) GROUP BY 1""",
+    "crc_sample": _with([_E, _CRC], f"SELECT entity_id FROM e, crct WHERE source = 1 AND {_crc('entity_id')} % 20 = 0"),
+    "audit_duplicate_ids": f"""SELECT 'id' AS what, sum(n - 1)::bigint AS duplicate_rows, count(*) FILTER (n > 1) AS duplicate_values
+        FROM (SELECT coalesce({_NUM}, -1) AS v, count(*) AS n FROM train_source1 GROUP BY 1)""",
+    "noise_pair_ids": _with([_E, _CRC], f""", ch AS (SELECT DISTINCT source1_entity_id AS s1, list_filter(list_transform(string_split(coalesce(matched_entity_ids, ''), ','), lambda x: trim(replace(x, chr(13), ''))), lambda x: x <> '') AS ids, {_crc('source1_entity_id')} AS crc
+              FROM train_matches, crct WHERE source1_entity_id IS NOT NULL AND {_crc('source1_entity_id')} % 2 = 0),
+        po AS (SELECT entity_id AS target, country, row_number() OVER (PARTITION BY country ORDER BY source, num) AS slot FROM e WHERE source > 1 QUALIFY slot <= 20000),
+        sz AS (SELECT country, count(*) AS size FROM po GROUP BY country)
+        SELECT 'positive' AS label, p.s1, p.target FROM (SELECT DISTINCT s1, unnest(ids) AS target FROM ch) p JOIN e t ON t.entity_id = p.target AND t.source > 1 JOIN e m ON m.entity_id = p.s1 AND m.source = 1
+        UNION ALL SELECT 'negative', ch.s1, po.target FROM ch JOIN e m ON m.entity_id = ch.s1 AND m.source = 1 JOIN sz ON sz.country = m.country JOIN po ON po.country = m.country AND po.slot = ch.crc % sz.size + 1
+        WHERE NOT list_contains(ch.ids, po.target)""").replace("\n, ch AS", ", ch AS"),
+    "fixed_logistic_scores": _with(_LABEL, "SELECT s1_id, target_id, round(-4.0::double + " + " + ".join(f"({0.25 * (i % 5) - 0.25})::double * {f}" for i, f in enumerate(_FEATURES)) + f", 6) AS score {_UNROUNDED}"),
+    "fixed_tree_scores": _with(_LABEL, f"SELECT s1_id, target_id, round({_TREES}, 6) AS score {_UNROUNDED}"),
+    "fixed_model_matches": _with(_LABEL, f""", hit AS (SELECT s1, src AS source, num FROM (SELECT s1, src, num, round({_TREES}, 6) AS score {_UNROUNDED}) WHERE score >= 0.5)
+        {_lists("hit", "matched_entity_ids")}""").replace("\n, hit AS", ", hit AS"),
     "reservoir_first_n": """SELECT country, position, source, row_no FROM (SELECT *, cast(row_number() OVER (PARTITION BY country ORDER BY source, row_no) AS int) AS position
         FROM (SELECT 2 AS source, * FROM train_source2 UNION ALL SELECT 3, * FROM train_source3)) WHERE position <= 50""",
 }

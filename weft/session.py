@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -51,3 +52,9 @@ def discard(df: DataFrame) -> None:
     if folder.isDefined():
         path = spark._jvm.org.apache.hadoop.fs.Path(folder.get())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, for what one step of a run writes and the next reads."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

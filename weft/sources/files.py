@@ -36,18 +36,35 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
 def read_split(spark: SparkSession, root: str, split: str) -> dict[str, DataFrame]:
     """The three source files of a split and, where there is one, its truth."""
     out = {f"source{k}": read_entities(spark, f"{root}/{split}_source{k}.tsv") for k in (1, 2, 3)}
-    if Path(root, f"{split}_ground_truth.tsv").exists():
+    truth = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{split}_ground_truth.tsv")  # any file system Spark reads
+    if truth.getFileSystem(spark._jsc.hadoopConfiguration()).exists(truth):
         out["truth"] = read_truth(spark, f"{root}/{split}_ground_truth.tsv")
     return out
 
 
+def in_file_order(df: DataFrame, column: str = "_weft_at") -> DataFrame:
+    """A parquet scan with the place of each row, (file, row), as a column that sorts."""
+    return df.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias(column))
+
+
+def write_document(spark: SparkSession, text: str, path: str) -> None:
+    """One text (a model, a metrics document) as a folder with one file."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_document(spark: SparkSession, path: str) -> str:
+    """What ``write_document`` wrote; '' for an empty folder."""
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect()).removesuffix("\n")
+
+
 def columns_of(spark: SparkSession, path: str) -> list[str]:
     """Column names of a tab-separated file; reads its first line only."""
     return spark.read.csv(path, sep="\t", header=True).columns
 
 
-def line_count(df: DataFrame) -> int:
-    return df.count()
+def line_count(*lists: DataFrame) -> int:
+    """Rows of all lists as they arrived, repeated ones included."""
+    return sum(df.count() for df in lists)
 
 
 def write_tsv(df: DataFrame, path: str, *, significant: int | None = None, decimals: int | None = None) -> None:

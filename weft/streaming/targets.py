@@ -14,10 +14,9 @@ from weft.operators import blocking as B
 from weft.operators.records import entities, prepared
 
 
-def score_batch(master: DataFrame, targets: DataFrame, config: B.BlockingConfig) -> DataFrame:
-    """Scored pairs of raw target rows with prepared master records."""
-    rec = master.unionByName(prepared(entities(targets)))
-    return B.stages(rec, config)["ranked"]
+def score_batch(master: DataFrame, index: tuple[DataFrame, DataFrame], targets: DataFrame, config: B.BlockingConfig) -> DataFrame:
+    """Scored pairs of raw target rows with prepared master records and their ``master_index``."""
+    return B.scored_targets(master, index, prepared(entities(targets)), config)
 
 
 def merge_top(standing: DataFrame | None, scored: DataFrame, config: B.BlockingConfig) -> DataFrame:
@@ -28,10 +27,12 @@ def merge_top(standing: DataFrame | None, scored: DataFrame, config: B.BlockingC
 def score_stream(master: DataFrame, targets: DataFrame, config: B.BlockingConfig, path: str, checkpoint: str) -> StreamingQuery:
     """Starts a query that writes the scored pairs of each micro-batch to ``path``/batch=<n>.
 
-    A batch that is repeated after a failure overwrites its own folder, so every pair is written once.
+    The master records are indexed once, before the first batch. A batch that is repeated after a failure
+    overwrites its own folder, so every pair is written once.
     """
+    index = B.master_index(master, config)
 
     def write(batch: DataFrame, number: int) -> None:
-        score_batch(master, batch, config).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        score_batch(master, index, batch, config).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return targets.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
