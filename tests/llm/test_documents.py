@@ -47,6 +47,31 @@ def test_token_table():
     assert len(table) == n and {table[i].as_py() for i in range(256)} == {bytes([i]) for i in range(256)}
 
 
+@needs_vocabulary
+def test_words_as_the_vocabulary_has_them(spark):
+    from tokenizers import Tokenizer
+
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    t = Tokenizer.from_file(path)
+    texts = ["It's  THE\n\n end.", "Cafe\u0301 ÄÖ 123", "", None, "漢字 don't'll", " x" * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.ids for r in encode_corpus(df, "doc_id", "text", path).collect()}
+    assert got == {i: t.encode(s or "", add_special_tokens=False).ids for i, s in enumerate(texts)}
+    with pytest.raises(ValueError):
+        decode_corpus(df.selectExpr("doc_id", "array(1) AS ids"), "doc_id", "ids", path)
+
+
+@needs_vocabulary
+@pytest.mark.parametrize("block_ids", [1, 7, 10**6])
+def test_decoding_in_blocks(spark, block_ids):
+    texts = {1: "Ünï 👍🏽 кот", 2: "", 3: "a" * 5000, 4: "x y z", 5: "👍"}
+    df = encode_corpus(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), "doc_id", "text", BYTE_BPE_50K)
+    more = df.unionByName(spark.createDataFrame([(6, None), (7, [10**8])], df.schema))
+    got = {r.doc_id: r.text for r in decode_corpus(more, "doc_id", "ids", BYTE_BPE_50K, block_ids=block_ids).collect()}
+    assert got == {**texts, 6: None, 7: ""}
+    assert decode_corpus(df.limit(0), "doc_id", "ids", BYTE_BPE_50K).count() == 0
+
+
 def test_decoding_nulls_and_stray_bytes(spark):
     df = spark.createDataFrame([(1, None), (2, []), (3, [64])], "doc_id bigint, ids array<int>")
     got = {r.doc_id: r.text for r in decode_corpus(df, "doc_id", "ids", BYTE_BPE_50K).collect()}

@@ -21,13 +21,15 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator, Sequence
-from functools import cache
+from functools import lru_cache
 
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.session import ship
+
 # Letters of Greek and Cyrillic that look like Latin ones.
 GREEK = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
@@ -52,7 +54,7 @@ _HYPHEN = "\u2010"  # what NFKC makes of the non-breaking hyphen; written as the
 _WORD = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 
 
-@cache
+@lru_cache(20_000)
 def script_set(ch: str) -> frozenset[str]:
     """The scripts a character can stand in; ``EVERY`` for what belongs to all of them."""
     if not ch.isalpha():
@@ -104,7 +106,7 @@ def respelled(word: str, script: str) -> tuple[str, int, bool]:
     return "".join(out), changed, whole
 
 
-@cache
+@lru_cache(50_000)
 def consistent_word(word: str) -> tuple[str, bool]:
     """Spelling in the script that fits best, and whether the word was mixed."""
     if resolved(word):
@@ -163,6 +165,7 @@ def settle(value: str, respell_whole: bool = False) -> tuple[str, list[str], boo
 
 def consistent_forms(df: DataFrame, key: str, fields: Sequence[str], *, respell_whole: bool = False) -> DataFrame:
     """key, field, value, form, faults, whole_script for every non-null value of the fields."""
+    ship(df.sparkSession)
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]))
     values = df.select(F.col(key), pairs.alias("_weft_v")).select(key, "_weft_v.field", "_weft_v.value").where(F.col("value").isNotNull())
 

@@ -15,7 +15,9 @@ computed twice and a lost executor costs no more than its own tasks. Blocks are
 their word lists therefore too. A word that is in every block gives one row per block to one join key;
 adaptive execution splits that partition if it grows beyond its threshold.
 
-Decoding looks every id up in the vocabulary's table of token bytes and joins the bytes of a document.
+Decoding is the same the other way round: a block keeps its distinct ids once, these are joined with the
+vocabulary's table of token bytes, and every block puts its texts together by position. The table has as
+many rows as the vocabulary has ids; it is broadcast up to ``MAX_VOCABULARY`` of them and joined by shuffle beyond.
 
 Defined results
     * a null and an empty text both give the empty list, never null;
@@ -24,12 +26,15 @@ Defined results
     * very long texts are processed whole (one text is never split between blocks);
     * other columns are ignored, whatever their names.
 
-``vocabulary`` is the path of a file on every node: ``*.json`` (tokenizers) or ``*.tiktoken`` (ranks).
+``vocabulary`` is the path of a file on every node: ``*.json`` (tokenizers; the normalizer and the pattern
+of the pre-tokens are the file's own) or ``*.tiktoken`` (ranks; the published pattern of the family).
+Vocabularies whose words have no borders of this kind are refused, as is decoding where ids don't stand for bytes.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -43,16 +48,43 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.session import cut
+from weft.session import cut, ship
 
 # Fixed value: the published pre-token pattern of this family of vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: characters after which a block is closed
-BLOCK_CHARS = 2_000_000
+#: characters after which a block is closed, and ids when decoding
+BLOCK_CHARS, BLOCK_IDS = 2_000_000, 1_000_000
+#: ids up to which a table of token bytes is broadcast
+MAX_VOCABULARY = 1_000_000
 _CODEC = "zstd"
 
 
+@cache
+def splitter(vocabulary: str) -> Callable[[str], list[str]]:
+    """The pre-tokens of a text, as the vocabulary's file has them made."""
+    if vocabulary.endswith(".tiktoken"):
+        return regex.compile(PATTERN).findall
+    from tokenizers import Tokenizer
+
+    with open(vocabulary, encoding="utf-8") as f:
+        rules = json.load(f)
+    pre = rules.get("pre_tokenizer") or {}
+    steps = pre.get("pretokenizers", [pre])
+    split = next((x for x in steps if x.get("type") == "Split"), None)
+    if split and split.get("invert") and split.get("behavior") == "Removed" and "Regex" in split["pattern"]:
+        pattern = split["pattern"]["Regex"]
+    elif not split and steps[-1].get("type") == "ByteLevel" and steps[-1].get("use_regex") and not steps[-1].get("add_prefix_space"):
+        pattern = PATTERN
+    else:
+        raise ValueError(f"the words of {vocabulary} have no borders that this operator knows")
+    find = regex.compile(pattern).findall
+    if not rules.get("normalizer"):
+        return find
+    normal = Tokenizer.from_file(vocabulary).normalizer.normalize_str
+    return lambda text: find(normal(text))
+
+
 @cache
 def encoder(vocabulary: str) -> Callable[[list[str]], list[list[int]]]:
     """Ids of single pre-tokens."""
@@ -74,10 +106,11 @@ def encoder(vocabulary: str) -> Callable[[list[str]], list[list[int]]]:
 def token_bytes(vocabulary: str) -> pa.BinaryArray:
     """The bytes of every id, in order of the ids."""
     if vocabulary.endswith(".json"):
-        import json
-
         with open(vocabulary, encoding="utf-8") as f:
-            model = json.load(f)["model"]["vocab"]
+            model = json.load(f)["model"]
+        if model.get("end_of_word_suffix") or model.get("continuing_subword_prefix"):
+            raise ValueError(f"the ids of {vocabulary} don't stand for bytes")
+        model = model["vocab"]
         # the file writes bytes as printable characters: printable Latin-1 as itself, the rest from U+0100 on
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         back = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(x for x in range(256) if x not in set(plain))}
@@ -92,14 +125,14 @@ def _pack(a: np.ndarray) -> bytes:
     return pa.compress(a.tobytes(), codec=_CODEC, asbytes=True)
 
 
-def _blocks(df: DataFrame, key: str, text: str, block_chars: int) -> DataFrame:
+def _blocks(df: DataFrame, key: str, text: str, vocabulary: str, block_chars: int) -> DataFrame:
     """block, keys, sizes (pre-tokens per document), slots (packed positions in words), words."""
     key_type = df.schema[key].dataType.simpleString()
 
     def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        find = regex.compile(PATTERN).findall
+        find = splitter(vocabulary)
         number = count(TaskContext.get().partitionId() << 33)
         schema = None
 
@@ -148,7 +181,9 @@ def encode_words(words: DataFrame, vocabulary: str) -> DataFrame:
 def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str, *, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """key, ids: the token ids of every row's text."""
     key_type = df.schema[key].dataType.simpleString()
-    blocks = cut(_blocks(df, key, text, block_chars))
+    ship(df.sparkSession)
+    splitter(vocabulary)  # refuses here what it would refuse on the workers
+    blocks = cut(_blocks(df, key, text, vocabulary, block_chars))
     uses = blocks.select("block", F.posexplode("words").alias("slot", "word"))
     encoded = encode_words(uses.select("word").distinct(), vocabulary)
     lists = uses.join(encoded, "word").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("slot", "ids"))).alias("s")).select("block", F.col("s.ids").alias("word_ids"))
@@ -177,18 +212,64 @@ def encode_corpus(df: DataFrame, key: str, text: str, vocabulary: str, *, block_
     return small.mapInArrow(assemble, f"`{key}` {key_type}, ids array<int>")
 
 
-def decode_corpus(df: DataFrame, key: str, ids: str, vocabulary: str) -> DataFrame:
-    """key, text: the text of every row's list of ids (null for a null list, U+FFFD for stray bytes)."""
+def _id_blocks(df: DataFrame, key: str, ids: str, block_ids: int) -> DataFrame:
+    """block, keys, sizes (ids per row, -1 for null), n_slots, slots (packed positions in distinct), distinct."""
     key_type = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = token_bytes(vocabulary)
+        from pyspark import TaskContext
+
+        number = count(TaskContext.get().partitionId() << 33)
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(1)), -1).to_numpy().astype(np.int64)
+            ends = np.cumsum(np.maximum(sizes, 0))
+            start = 0
+            while start < batch.num_rows:
+                before = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, before + block_ids, side="right")))
+                part = batch.slice(start, stop - start)
+                distinct, slots = np.unique(pc.fill_null(part.column(1).flatten(), -1).to_numpy(zero_copy_only=False), return_inverse=True)
+                packed = _pack(slots.astype(f"<u{2 if len(distinct) <= 0xFFFF else 4}"))
+                columns = [pa.array([next(number)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), pa.concat_arrays([part.column(0)])), pa.array([sizes[start:stop]], pa.list_(pa.int32())), pa.array([len(slots)], pa.int64()), pa.array([packed], pa.binary()), pa.array([distinct], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "keys", "sizes", "n_slots", "slots", "distinct"])
+                start = stop
+
+    rows = df.select(F.col(key).alias("k"), F.col(ids).cast("array<int>").alias("i"))
+    return rows.mapInArrow(run, f"block long, keys array<{key_type}>, sizes array<int>, n_slots long, slots binary, distinct array<int>")
+
+
+def token_table(spark, vocabulary: str) -> DataFrame:
+    """id, bytes of every id of a vocabulary."""
+    table = token_bytes(vocabulary)
+    return spark.createDataFrame(pa.table({"id": pa.array(range(len(table)), pa.int32()), "bytes": table}))
+
+
+def decode_corpus(df: DataFrame, key: str, ids: str, vocabulary: str, *, block_ids: int = BLOCK_IDS) -> DataFrame:
+    """key, text: the text of every row's list of ids (null for a null list, U+FFFD for stray bytes, nothing for unknown ids)."""
+    ship(df.sparkSession)
+    key_type = df.schema[key].dataType.simpleString()
+    table = token_table(df.sparkSession, vocabulary)
+    if len(token_bytes(vocabulary)) <= MAX_VOCABULARY:
+        table = F.broadcast(table)
+    blocks = cut(_id_blocks(df, key, ids, block_ids))
+    uses = blocks.select("block", F.posexplode("distinct").alias("slot", "id"))
+    lists = uses.join(table, "id", "left").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("slot", F.coalesce("bytes", F.lit(b"")).alias("bytes")))).alias("s"))
+    whole = blocks.drop("distinct").join(lists.select("block", F.col("s.bytes").alias("bytes")), "block", "left")
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column(1)
-            parts = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy()))), pa.int32()), table.take(lists.flatten()))
-            joined = pc.binary_join(parts, b"").to_pylist()
-            nulls = lists.is_null().to_pylist()
-            texts = [None if gone else (j or b"").decode("utf-8", "replace") for j, gone in zip(joined, nulls)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [key, "text"])
-
-    return df.select(F.col(key), F.col(ids)).mapInArrow(run, f"`{key}` {key_type}, text string")
+            for i in range(b.num_rows):
+                row = {n: b.column(n)[i] for n in ("keys", "sizes", "n_slots", "slots", "bytes")}
+                keys, sizes, n = row["keys"].values, row["sizes"].values.to_numpy(), row["n_slots"].as_py()
+                texts = [None if size < 0 else "" for size in sizes]
+                if n:
+                    parts = row["bytes"].values
+                    dtype = np.dtype("<u2" if len(parts) <= 0xFFFF else "<u4")
+                    slots = np.frombuffer(pa.decompress(row["slots"].as_py(), n * dtype.itemsize, codec=_CODEC), dtype)
+                    ends = np.concatenate(([0], np.cumsum(np.maximum(sizes, 0), dtype=np.int64)))
+                    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts.take(pa.array(slots, pa.uint32()))), b"").to_pylist()
+                    texts = [None if size < 0 else (j or b"").decode("utf-8", "replace") for j, size in zip(joined, sizes)]
+                for at in range(0, len(keys), 500):
+                    yield pa.RecordBatch.from_arrays([keys.slice(at, 500), pa.array(texts[at : at + 500], pa.string())], [key, "text"])
+
+    return whole.select("keys", "sizes", "n_slots", "slots", "bytes").mapInArrow(assemble, f"`{key}` {key_type}, text string")
