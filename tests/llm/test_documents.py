@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import rows
 from weft.llm.catalog import BYTE_BPE_50K, TOKENIZERS
 from weft.llm.language import WordModel, language_segments, mislabelled, named_language, viterbi
-from weft.llm.leakage import leaked_items, longest_stretch, string_tiles, text_words
+from weft.llm.leakage import PASSAGE, leaked_items, longest_stretch, plausible, string_tiles, text_words
 from weft.llm.markup import paragraphs, running_text
 from weft.llm.tokenize import decode_corpus, encode_corpus, token_bytes
 
@@ -221,6 +221,17 @@ def test_reordered_passages_are_leaks_but_no_quotations(spark):
     assert [(r.doc_id, r.coverage) for r in got] == [(1, 1.0)] and got[0].stretch < got[0].wanted
 
 
+def test_plausible_places_of_any_size():
+    rnd = np.random.default_rng(3)
+    for _ in range(300):
+        n, m = rnd.integers(1, 40), rnd.integers(1, 60)
+        item, place = rnd.integers(1, 4, n), rnd.integers(0, 4, m)
+        wanted = max(1, (n + 1) // 2)
+        tiles = string_tiles(item.tolist(), place.tolist(), min(PASSAGE, int(n)))
+        if sum(t[2] for t in tiles) >= wanted or longest_stretch(item.tolist(), place.tolist(), 8, 1) >= wanted + 1:
+            assert plausible(item, place, wanted, 2)
+
+
 def test_short_items(spark):
     items = [(1, "six words stand here for good"), (2, "Only three words"), (3, "two words"), (4, "word"), (5, "-- !"), (6, "five more words are here"), (7, "")]
     docs = [(1, "And so six words, stand here for good."), (2, "only three words"), (3, "in two words"), (4, "wording"), (5, "six words stand"), (6, "stand for words"), (7, "a Word")]

@@ -297,11 +297,13 @@ def plausible(item: np.ndarray, place: np.ndarray, wanted: int, edits: int) -> b
     if in_order(same, wanted, edits):
         return True
     size = min(PASSAGE, len(item))
+    if min(same.shape) < size:
+        return False
     run, have = same, 1
-    while have < size and min(run.shape) > 0:
+    while have < size:
         step = min(have, size - have)
         run, have = run[: run.shape[0] - step, : run.shape[1] - step] & run[step:, step:], have + step
-    begins = np.flatnonzero(run.any(1)) if min(run.shape) > 0 else np.empty(0, np.int64)
+    begins = np.flatnonzero(run.any(1))
     edge = np.zeros(len(item) + 1, np.int64)
     np.add.at(edge, begins, 1)
     np.add.at(edge, begins + size, -1)
