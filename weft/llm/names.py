@@ -366,8 +366,7 @@ def parse_address(value: str) -> Place:
     if not post and len(houses) > 1 and _CYRILLIC.search(text) and (four := [h for h in houses if len(h) == 4]):
         post = four[-1]
         houses.remove(post)
-    for n in weak:
-        (units if houses else houses).append(n)
+    (units if houses else houses).extend(weak)  # without another number, each of several could be the house's
     return Place(post, tuple(sorted(houses)), tuple(sorted(units)), tuple(sorted(set(roads))), tuple(sorted(set(sides))), tuple(words), tuple(sorted(set(codes))))
 
 
