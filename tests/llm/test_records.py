@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from weft.llm.matching import beliefs, fit_prior, grade, match_lists, placed, propagate
 from weft.llm.names import edits, folded, gate_keys, packed_name, packed_place, parse_address, parse_name, same_name, same_place, sound, unpacked_name, unpacked_place
-from weft.llm.places import place_pairs
-from weft.llm.variants import radius_pairs, variant_pairs
+from weft.llm.places import place_classes, place_pairs
+from weft.llm.variants import radius_pairs, variant_classes, variant_pairs
 
 RECORD = "entity_id string, business_name string, business_address string, country string, name_a string, row_no bigint"
 
@@ -54,6 +54,8 @@ def test_same_name(a, b, yes):
         ("5 Lofi Lane, Suite 1, Voro Falls 30142", "5 Lofi Lane, Suite 2, Voro Falls 30142", False),
         ("5 North Lofi Lane, Voro Falls", "5 South Lofi Lane, Voro Falls", False),
         ("5 Lofi Lane, Voro Falls", "5 Lofi Lane, Suite 7, Voro Falls", True),
+        ("Apartment 322, 523, Tipinan Lane, Zitepur, Suryadesh 311426", "# 322, #523, Tipinan Ln, Zitepur, 311426", True),
+        ("# 322, #600, Tipinan Ln, Zitepur, 311426", "# 322, #523, Tipinan Ln, Zitepur, 311426", False),
         ("Gaguby, VT2 8VG, 549 Figamur Hwy", "549 Figamur Highway, Gaguby, VT2 8VG", True),
     ],
 )
@@ -110,6 +112,17 @@ def test_variants_of_a_hot_name(spark):
     assert got.count() == 300 and got.where("id_a <> 'S1-900' and id_b <> 'S1-900'").count() == 0
 
 
+def test_classes_and_links(spark):
+    """A spelling or address of many records is a class, whose links are counted and not expanded."""
+    data = [(f"S1-{i}", "Fuvalareth Express", "14 Mabeno Highway, Kazo Falls, TC 38398", "US") for i in range(300)] + [("S1-900", "Fuvalarteh Express", "14 Mabeno Hwy, TC 38398", "US"), ("S1-901", "Gosavi Cafe", "...", "US"), ("S1-902", None, "...", "US")]
+    df = records(spark, data)
+    got = {r.id: (r.class_id, r.n_links) for r in variant_classes(df, "entity_id", "business_name").collect()}
+    assert len(got) == 302 and got["S1-7"] == ("S1-0", 300) and got["S1-900"] == ("S1-900", 300) and got["S1-901"] == ("S1-901", 0)
+    got = {r.id: (r.class_id, r.n_links) for r in place_classes(df, "entity_id", "business_address", similarity=0.01).collect()}
+    assert got["S1-7"] == ("S1-0", 300) and got["S1-900"] == ("S1-900", 300) and got["S1-901"] == got["S1-902"] == ("S1-901", 1)
+    assert variant_classes(df.limit(0), "entity_id", "business_name").count() == 0 and place_classes(df.limit(0), "entity_id", "business_address").count() == 0
+
+
 def test_places_against_all_pairs(spark):
     towns, streets = ["Kazo Falls", "Voro Springs", "Lameton"], ["Mabeno Lane", "Vorapun Street", "North Lofi Road"]
     rnd = random.Random(7)

@@ -10,11 +10,11 @@ from weft.llm.language import language_segments, mislabelled
 from weft.llm.leakage import leaked_items
 from weft.llm.lookalike import consistent_forms, inconsistent_values
 from weft.llm.matching import match_lists
-from weft.llm.places import place_pairs
+from weft.llm.places import place_classes, place_pairs
 from weft.llm.termfreq import marked_terms, rare_or_common
 from weft.llm.tokenize import decode_corpus, encode_corpus
 from weft.llm.topn import top_n_per_group
-from weft.llm.variants import variant_pairs
+from weft.llm.variants import variant_classes, variant_pairs
 from weft.session import table
 
 #: where the public vocabularies are; nothing of them is in this repository
@@ -52,19 +52,21 @@ def p3_ranked(spark, sf_dir):
 
 
 def p4_found(spark, sf_dir):
-    return p4_variants(spark, sf_dir).select("id_a", "id_b").distinct()
+    return variant_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_name").select("id_a", "id_b").distinct()
 
 
 def p4_variants(spark, sf_dir):
-    return variant_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_name")
+    """A row per record and spelling: its class and the number of records linked to it."""
+    return variant_classes(table(spark, sf_dir, "train_source1"), "entity_id", "business_name")
 
 
 def p7_found(spark, sf_dir):
-    return p7_places(spark, sf_dir).select("id_a", "id_b")
+    return place_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_address").select("id_a", "id_b")
 
 
 def p7_places(spark, sf_dir):
-    return place_pairs(table(spark, sf_dir, "train_source1"), "entity_id", "business_address")
+    """A row per record and address: its class and the number of records at the same place."""
+    return place_classes(table(spark, sf_dir, "train_source1"), "entity_id", "business_address")
 
 
 def p6_found(spark, sf_dir):

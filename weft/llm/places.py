@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.names import Place, packed_place, plain, same_place, unpacked_place
-from weft.llm.variants import two_steps
+from weft.llm.variants import linked_classes, two_steps
 from weft.session import cut, ship
 
 GRAM, SIMILARITY = 4, 0.25
@@ -119,8 +119,13 @@ def _verified(pairs: DataFrame, sized: DataFrame, similarity: float) -> DataFram
     return full.mapInArrow(run, "i long, j long, similarity double")
 
 
-def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY, slack: int = SLACK) -> DataFrame:
-    """id_a, id_b, similarity: records whose addresses denote one place (0.0: through a third address)."""
+def place_links(df: DataFrame, key: str, address: str, *, similarity: float = SIMILARITY, slack: int = SLACK) -> tuple[DataFrame, DataFrame]:
+    """Classes of records with equal addresses and the links between them: (id, norm, aid) and (i, j, similarity).
+
+    A class is an address, ``aid`` its number (null for an address without words and numbers, which has no
+    links). A link joins two different addresses of one place (similarity 0.0: through a third address). What
+    many records share is linked once, not once for each pair of them.
+    """
     placed = df.select(F.col(key).cast("string").alias("id"), F.col(address).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(address_forms(placed, "raw"))
     sized = cut(weighted(forms.select("norm", "where", "houses", "grams").dropDuplicates(["norm"]), similarity))
@@ -135,11 +140,22 @@ def place_pairs(df: DataFrame, key: str, address: str, *, similarity: float = SI
         part = lambda i, p: sized.select(F.col("aid").alias(i), F.col("where").alias(p))
         steps = two_steps(same, "i", "j").join(part("i", "xp"), "i").join(part("j", "yp"), "j").select("i", "j", "xp", "yp")
         same = same.unionByName(steps.mapInArrow(bridge, "i long, j long").withColumn("similarity", F.lit(0.0)))
-    # an address without words or numbers has no vector and is alike only to itself
     ids = placed.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
-    known = ids.join(sized.select("norm", "aid"), "norm", "left")
+    return ids.join(sized.select("norm", "aid"), "norm", "left").select("id", "norm", "aid"), same
+
+
+def place_pairs(df: DataFrame, key: str, address: str, **options) -> DataFrame:
+    """id_a, id_b, similarity: every pair of records whose addresses denote one place, from ``place_links``."""
+    known, same = place_links(df, key, address, **options)
     side = lambda p, *on: known.select(*on, F.col("id").alias(p))
     met = same.join(side("p", F.col("aid").alias("i")), "i").join(side("q", F.col("aid").alias("j")), "j").select("p", "q", "similarity")
     alike = side("p", "norm").join(side("q", "norm"), "norm").where("p < q").select("p", "q", F.lit(1.0).alias("similarity"))
     both = met.unionByName(alike).where(F.col("p") != F.col("q"))
     return both.groupBy(F.least("p", "q").alias("id_a"), F.greatest("p", "q").alias("id_b")).agg(F.max("similarity").alias("similarity"))
+
+
+def place_classes(df: DataFrame, key: str, address: str, **options) -> DataFrame:
+    """id, class_id, n_links: a row for each record and address of it. ``class_id`` is the smallest id with that address, ``n_links`` the other records there and at the linked addresses."""
+    known, same = place_links(df, key, address, **options)
+    known = cut(known)
+    return linked_classes(known.select("id", F.col("norm").alias("form"), F.col("aid").alias("number")), same.select(F.col("i").alias("x"), F.col("j").alias("y")))

@@ -146,8 +146,20 @@ def two_steps(pairs: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     return met.select(x, y).distinct().join(pairs.select(F.least(x, y).alias(x), F.greatest(x, y).alias(y)), [x, y], "left_anti")
 
 
-def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS, bridged: int = BRIDGED) -> DataFrame:
-    """id_a, id_b, name_a, name_b: records whose names are spellings of one another."""
+def linked_classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """id, class_id, n_links from members (id, form, number) of classes and links (x, y) between their numbers.
+
+    Only counts move along the links, so a class of many records costs as much as one of two.
+    """
+    classes = members.groupBy("form").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("_size"), F.first("number").alias("number"))
+    both = links.select("x", "y").unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    beside = both.join(classes.where(F.col("number").isNotNull()).select(F.col("number").alias("y"), "_size"), "y").groupBy(F.col("x").alias("number")).agg(F.sum("_size").alias("_beside"))
+    sized = classes.join(beside, "number", "left").select("form", "class_id", (F.col("_size") - 1 + F.coalesce("_beside", F.lit(0))).alias("n_links"))
+    return members.join(sized, "form").select("id", "class_id", "n_links")
+
+
+def variant_links(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, bone_radius: int = BONE_RADIUS, pivots: int = PIVOTS, bridged: int = BRIDGED) -> tuple[DataFrame, DataFrame]:
+    """Classes of records with one spelling and the links between spellings: (id, norm, name) and (x, y), numbers of names."""
     named = df.select(F.col(key).cast("string").alias("id"), F.col(name).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(name_forms(named, "raw"))
     names = cut(forms.select("norm", "fold", "what", "keys", "bones").dropDuplicates(["norm"]).withColumn("name", F.monotonically_increasing_id()))
@@ -155,8 +167,19 @@ def variant_pairs(df: DataFrame, key: str, name: str, *, radius: int = RADIUS, b
     same = cut(_verified(cand, names, 3, 5))
     if bridged:
         same = same.unionByName(_verified(two_steps(same), names, bridged, 2))
-    ids = named.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct().join(names.select("norm", "name"), "norm")
+    return named.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct().join(names.select("norm", "name"), "norm"), same
+
+
+def variant_pairs(df: DataFrame, key: str, name: str, **options) -> DataFrame:
+    """id_a, id_b, name_a, name_b: every pair of records whose names are spellings of one another, from ``variant_links``."""
+    ids, same = variant_links(df, key, name, **options)
     side = lambda n, i, t: ids.select(F.col("name").alias(n), F.col("id").alias(i), F.col("norm").alias(t))
     both = same.join(side("x", "p", "px"), "x").join(side("y", "q", "qy"), "y").where(F.col("p") != F.col("q"))
     first = F.col("p") < F.col("q")
     return both.select(F.when(first, F.col("p")).otherwise(F.col("q")).alias("id_a"), F.when(first, F.col("q")).otherwise(F.col("p")).alias("id_b"), F.when(first, F.col("px")).otherwise(F.col("qy")).alias("name_a"), F.when(first, F.col("qy")).otherwise(F.col("px")).alias("name_b"))
+
+
+def variant_classes(df: DataFrame, key: str, name: str, **options) -> DataFrame:
+    """id, class_id, n_links: a row for each record and spelling of it. ``class_id`` is the smallest id with that spelling, ``n_links`` the other records with it or a variant."""
+    ids, same = variant_links(df, key, name, **options)
+    return linked_classes(cut(ids).select("id", F.col("norm").alias("form"), F.col("name").alias("number")), same)
