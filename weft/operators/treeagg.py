@@ -24,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+CHUNK_ROWS = 1 << 20
+
 #: kind of state -> (how a row enters it, how two states merge)
 _STATES = {
     "count": (lambda c: F.count(c), F.sum),
@@ -56,7 +58,7 @@ def count_chunks(df: DataFrame, chunk_rows: int) -> tuple[int, int]:
 
 
 def tree_levels(
-    df: DataFrame, keys: Sequence[str], aggs: Sequence[tuple[str, str, Column]], *, fan_in: int = 32, chunk_rows: int = 1 << 20, chunks: tuple[int, int] | None = None
+    df: DataFrame, keys: Sequence[str], aggs: Sequence[tuple[str, str, Column]], *, fan_in: int = 32, chunk_rows: int = CHUNK_ROWS, chunks: tuple[int, int] | None = None
 ) -> list[DataFrame]:
     """The states after each round: keys, ``_weft_node`` and the aggregates; the last is the root."""
     if fan_in < 2:
@@ -94,6 +96,9 @@ def value_profile(df: DataFrame, fields: Sequence[str], *, time_col: str | None
     pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("key_value")) for f in fields])).alias("_weft_kv")
     kept = [] if time_col is None else [F.col(time_col).alias("_weft_time")]
     long = df.select(pairs, *kept).select("_weft_kv.*", *[c for c in ["_weft_time"] if time_col])
+    if "chunks" not in tree:  # counted on the table as it is, so that no column is read; a row becomes one for each field
+        splits, per_split = count_chunks(df, tree.get("chunk_rows", CHUNK_ROWS))
+        tree["chunks"] = (splits, per_split * len(fields))
     aggs = [("n_rows", "count", F.lit(1))]
     if time_col:
         aggs += [("first_at", "min", F.col("_weft_time")), ("last_at", "max", F.col("_weft_time"))]
