@@ -31,6 +31,8 @@ def test_latest_arrival_wins(spark):
 
 def test_config():
     assert BlockingConfig.parse(max_df="5", top_k="2").gram_df == 1 and BlockingConfig.full().gram_df == 800
+    assert BlockingConfig.parse() == BlockingConfig(sample_mod=10, sample_rem=0, max_df=80, max_bucket=300, top_k=100)
+    assert BlockingConfig.training() == BlockingConfig.parse(sample_mod="100", max_df="1000", max_bucket="5")
     with pytest.raises(ValueError):
         BlockingConfig.parse(nonsense="1")
 
@@ -50,7 +52,7 @@ def test_top_k_order(spark):
 
 def test_contract(spark, lists, rec):
     """One row per master record; ids unique, of the two lists, and matches among the candidates."""
-    top = blocking.stages(rec, BlockingConfig())["top"].cache()
+    top = blocking.stages(rec, BlockingConfig.whole())["top"].cache()
     feats = features.pair_features(top, rec)
     scored = feats.withColumn("score", F.col("best_field"))
     master = records.entities(lists[1])
@@ -197,6 +199,8 @@ def test_files(spark, tmp_path):
     p.write_bytes('entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t"A\tb\tUS\tx\r\nS1-2\tonly\n'.encode())
     assert rows(files.read_entities(spark, str(p)), "entity_id", "business_name", "business_address", "country") == [("S1-1", '"A', "b", "US\tx"), ("S1-2", "only", "", "")]
     df = spark.createDataFrame([("a", 1 / 3, 2)], "k string, v double, n int")
+    files.write_tsv(spark.createDataFrame([("a", 1.0, 0.5)], "k string, flag double, part double").coalesce(1), str(tmp_path / "noise"), decimals=6, whole=("flag",))
+    assert spark.read.text(str(tmp_path / "noise")).collect()[-1].value == "a\t1\t0.500000"
     files.write_tsv(df.coalesce(1), str(tmp_path / "t"), significant=7)
     assert files.columns_of(spark, str(tmp_path / "t")) == ["k", "v", "n"]
     assert files.read_quoted(spark, str(tmp_path / "t")).first().v == "0.3333333"
@@ -207,7 +211,7 @@ def test_files(spark, tmp_path):
 
 
 def test_stream_equals_batch(spark, lists, tmp_path):
-    config = BlockingConfig()
+    config = BlockingConfig.whole()
     master = records.prepared(records.entities(lists[1])).cache()
     raw = lists[2].unionByName(lists[3])
     raw.repartition(3).write.parquet(str(tmp_path / "in"))

@@ -25,13 +25,13 @@ EVIDENCE = ("name_tok", "addr_tok", "name_gram", "addr_gram", "name_pair", "addr
 
 @dataclass(frozen=True)
 class BlockingConfig:
-    """Parameters of a run. Defaults suit a sample; ``full`` is what a whole inference run uses."""
+    """Parameters of a run. The defaults, and those of the two runs of the pipeline."""
 
-    sample_mod: int = 1
+    sample_mod: int = 10
     sample_rem: int = 0
-    max_df: int = 1000
-    max_bucket: int = 20
-    top_k: int = 50
+    max_df: int = 80
+    max_bucket: int = 300
+    top_k: int = 100
     min_dice: float = 0.40
 
     @property
@@ -40,14 +40,26 @@ class BlockingConfig:
 
     @classmethod
     def parse(cls, **options: str) -> "BlockingConfig":
+        """From options as text; what is not given has its default."""
         known = {"sample_mod", "sample_rem", "max_df", "max_bucket", "top_k"}
         if unknown := set(options) - known:
             raise ValueError(f"unknown options: {sorted(unknown)}")
         return cls(**{k: int(v) for k, v in options.items()})
 
+    @classmethod
+    def training(cls) -> "BlockingConfig":
+        """One master record in a hundred, to mine training pairs from."""
+        return cls(sample_mod=100, max_df=1000, max_bucket=5, top_k=100)
+
+    @classmethod
+    def whole(cls) -> "BlockingConfig":
+        """All master records under the frequency limit of the training run, for lists as small as a sample of it."""
+        return cls(sample_mod=1, max_df=1000, max_bucket=20, top_k=50)
+
     @classmethod
     def full(cls) -> "BlockingConfig":
-        return cls(max_df=80_000, max_bucket=20, top_k=50)
+        """All master records of an inference run."""
+        return cls(sample_mod=1, max_df=80_000, max_bucket=20, top_k=50)
 
 
 def long_values(rec: DataFrame) -> DataFrame:

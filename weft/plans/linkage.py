@@ -14,7 +14,7 @@ from weft.operators.blocking import BlockingConfig
 from weft.session import cut, shared_path, table
 from weft.sources import files
 
-CONFIG = BlockingConfig()
+CONFIG = BlockingConfig.whole()
 #: limits of a whole inference run; CONFIG's are those of the training stage and of the stages' SQL
 FULL = BlockingConfig.full()
 #: boosted trees as the reference fits them
@@ -180,7 +180,7 @@ def candidate_rank(spark, sf):
 
 
 def candidate_topk(spark, sf):
-    return blocking.top_candidates(stage("ranked")(spark, sf), BlockingConfig(top_k=3)).select("s1", "source", "num", "position")
+    return blocking.top_candidates(stage("ranked")(spark, sf), BlockingConfig(top_k=50)).select("s1", "source", "num", "position")
 
 
 def _top(spark, sf):
@@ -197,6 +197,14 @@ def candidate_lists(spark, sf):
     return _lists(spark, sf, stage("top")(spark, sf))
 
 
+def training_candidates(spark, sf):
+    """The pairs that a training run mines: a sample of the master records, whose frequencies alone count, against all targets."""
+    config = BlockingConfig.training()
+    every = entities(spark, sf)
+    sampled = records.modulus_sample(every.where("source = 1"), config.sample_mod, config.sample_rem).unionByName(every.where("source > 1"))
+    return blocking.stages(cut(records.prepared(sampled)), config)["top"].select("s1", "source", "num", "hits", "position")
+
+
 def full_candidate_lists(spark, sf):
     """The candidates that ``final_matches`` scores."""
     return _lists(spark, sf, blocking.stages(cut(rec(spark, sf)), FULL)["top"])
@@ -364,7 +372,7 @@ def origin_classes(spark, sf):
 
 def reservoir_first_n(spark, sf):
     both = raw(spark, sf, 2).withColumn("source", F.lit(2)).unionByName(raw(spark, sf, 3).withColumn("source", F.lit(3)))
-    return audit.first_per_country(both, 50).select("country", "position", "source", "row_no")
+    return audit.first_per_country(both).select("country", "position", "source", "row_no")
 
 
 def audit_duplicate_ids(spark, sf):
@@ -508,7 +516,7 @@ QUERIES = {
     "token_df_name": _df_of(1), "token_df_address": _df_of(2), "gram_df_name": _df_of(3), "gram_df_address": _df_of(4),
     "rare_tokens": _rare((1, 2)), "rare_grams": _rare((3, 4)),
     "block_exact_name": _block(1), "block_exact_address": _block(2), "block_rare_token": _block(3, 4), "block_rare_gram": _block(5, 6), "block_compound": _block(7, 8),
-    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists, "full_candidate_lists": full_candidate_lists, "candidate_counters": candidate_counters,
+    "evidence_counts": evidence_counts, "keep_candidates": keep_candidates, "candidate_rank": candidate_rank, "candidate_topk": candidate_topk, "candidate_lists": candidate_lists, "full_candidate_lists": full_candidate_lists, "training_candidates": training_candidates, "candidate_counters": candidate_counters,
     "owner_last_wins": owner_last_wins, "label_pairs": label_pairs, "pair_features": pair_features, "all_positive_features": all_positive_features, "negative_downsample": negative_downsample, "class_weights": class_weights, "final_fit_rows": final_fit_rows,
     "candidate_stats": candidate_stats, "rules_abc_metrics": rules_abc_metrics, "fbeta_by_entity": fbeta_by_entity, "macro_by_country": macro_by_country, "macro_by_multiplicity": macro_by_multiplicity,
     "threshold_scan": threshold_scan, "best_threshold": best_threshold,

@@ -210,6 +210,11 @@ def _lists(pairs: str, name: str) -> str:
         (SELECT s1, string_agg('S' || source || '-' || num, ',' ORDER BY source, num) AS ids FROM {pairs} GROUP BY s1) l ON l.s1 = e.num WHERE e.source = 1"""
 
 
+def _sampled(part: str) -> str:
+    """A part of the chain for a training run: one master record in a hundred, buckets of at most five."""
+    return part.replace("AS addr_norm FROM e)", "AS addr_norm FROM e WHERE source > 1 OR num % 100 = 0)").replace("HAVING count(*) <= 20", "HAVING count(*) <= 5")
+
+
 ORACLE = {
     "ingest_entities": _with([_E], "SELECT * FROM e"),
     "union_targets": _with([_E], "SELECT source, count(*) AS n_rows, count(*) FILTER (name = '') AS no_name FROM e WHERE source > 1 GROUP BY source"),
@@ -236,7 +241,9 @@ ORACLE = {
     "evidence_counts": _with(_BLOCK[:10], "SELECT * FROM ev"),
     "keep_candidates": _with(_BLOCK[:11], "SELECT s1, source, num, hits FROM kept"),
     "candidate_rank": _with(_BLOCK[:13], "SELECT s1, source, num, hits, round(name_dice, 6) AS name_dice, round(addr_dice, 6) AS addr_dice, round(rank_score::double, 5) AS rank_score FROM ranked"),
-    "candidate_topk": _with(_BLOCK[:14], "SELECT s1, source, num, position FROM pos WHERE position <= 3"),
+    "candidate_topk": _with(_BLOCK[:14], "SELECT s1, source, num, position FROM pos WHERE position <= 50"),
+    "training_candidates": _with([_sampled(x) for x in _BLOCK], "SELECT s1, source, num, hits, position FROM pos WHERE position <= 100"),
+    "full_candidate_lists": _with([x.replace("df <= 1000)", "df <= 80000)").replace("df <= 10", "df <= 800") for x in _BLOCK], _lists("topk", "candidate_entity_ids")),
     "candidate_lists": _with(_BLOCK, _lists("topk", "candidate_entity_ids")),
     "candidate_counters": _with([*_BLOCK, _TRUTH], """, lab AS (SELECT p.*, coalesce((own.owner = p.s1)::int, 0) AS label FROM pos p LEFT JOIN own ON own.source = p.source AND own.num = p.num),
         c AS (SELECT count(*) AS pre_pairs, sum(label)::bigint AS pre_true, count(*) FILTER (position <= 50) AS final_pairs, (sum(label) FILTER (position <= 50))::bigint AS positives_found FROM lab)
@@ -283,5 +290,5 @@ ORACLE = {
     "fixed_model_matches": _with(_LABEL, f""", hit AS (SELECT s1, src AS source, num FROM (SELECT s1, src, num, round({_TREES}, 6) AS score {_UNROUNDED}) WHERE score >= 0.5)
         {_lists("hit", "matched_entity_ids")}""").replace("\n, hit AS", ", hit AS"),
     "reservoir_first_n": """SELECT country, position, source, row_no FROM (SELECT *, cast(row_number() OVER (PARTITION BY country ORDER BY source, row_no) AS int) AS position
-        FROM (SELECT 2 AS source, * FROM train_source2 UNION ALL SELECT 3, * FROM train_source3)) WHERE position <= 50""",
+        FROM (SELECT 2 AS source, * FROM train_source2 UNION ALL SELECT 3, * FROM train_source3)) WHERE position <= 20000""",
 }

@@ -24,9 +24,9 @@ def read_entities(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(~header & (F.col("_weft_line") != "")).select(*[F.coalesce(F.get(parts, F.lit(i)), F.lit("")).alias(f.name) for i, f in enumerate(ENTITY)])
 
 
-def read_quoted(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A tab-separated file with a header in which double quotes quote."""
-    return spark.read.csv(path, sep="\t", header=True, schema=schema, quote='"', escape='"', multiLine=True)
+def read_quoted(spark: SparkSession, path: str, schema: T.StructType | None = None, *, multi_line: bool = False) -> DataFrame:
+    """A tab-separated file with a header in which double quotes quote. With ``multi_line`` quoted fields may hold line feeds; such a file can't be split."""
+    return spark.read.csv(path, sep="\t", header=True, schema=schema, quote='"', escape='"', multiLine=multi_line)
 
 
 def read_truth(spark: SparkSession, path: str) -> DataFrame:
@@ -67,9 +67,10 @@ def line_count(*lists: DataFrame) -> int:
     return sum(df.count() for df in lists)
 
 
-def write_tsv(df: DataFrame, path: str, *, significant: int | None = None, decimals: int | None = None) -> None:
-    """Tab-separated with a header. ``significant``: digits of doubles, ``decimals``: places of doubles."""
+def write_tsv(df: DataFrame, path: str, *, significant: int | None = None, decimals: int | None = None, whole: tuple[str, ...] = ()) -> None:
+    """Tab-separated with a header. ``significant``: digits of doubles, ``decimals``: places of doubles; columns in ``whole`` are written as integers."""
     form = f"%.{significant}g" if significant else f"%.{decimals}f" if decimals is not None else None
+    df = df.withColumns({c: F.col(c).cast("bigint") for c in whole})
     out = [F.format_string(form, F.col(f.name)).alias(f.name) if form and isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name) for f in df.schema]
     df.select(*out).write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escapeQuotes=False, emptyValue="")
 
