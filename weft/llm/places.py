@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.names import Place, packed_place, plain, same_place, unpacked_place
 from weft.llm.variants import linked_classes, two_steps
-from weft.session import cut, ship
+from weft.session import cut, discard, ship
 
 GRAM, SIMILARITY = 4, 0.25
 SLACK = 2
@@ -62,31 +62,33 @@ def address_forms(df: DataFrame, column: str) -> DataFrame:
 
 
 def weighted(forms: DataFrame, similarity: float) -> DataFrame:
-    """aid, norm, where, houses, codes (of the grams, rarest first), w (of unit length), prefix (grams to be indexed)."""
-    long = forms.select("norm", F.explode("grams").alias("gram"))
+    """Forms (aid, norm, where, houses, grams) with codes (of the grams, rarest first), w (of unit length) and prefix (grams to be indexed)."""
+    long = forms.select("aid", F.explode("grams").alias("gram"))
     seen = long.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     total = forms.agg(F.count(F.lit(1)).alias("n")).first().n  # one number
-    vectors = long.join(seen, "gram").groupBy("norm").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
-    whole = forms.select("norm", "where", "houses").join(vectors, "norm").select("norm", "where", "houses", F.transform("g.gram", lambda g: F.xxhash64(g)).alias("codes"), F.transform("g.df", lambda d: F.log(F.lit(1.0 + total) / d)).alias("w"))
+    vectors = long.join(seen, "gram").groupBy("aid").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g"))
+    whole = forms.select("aid", "norm", "where", "houses").join(vectors, "aid").select("aid", "norm", "where", "houses", F.transform("g.gram", lambda g: F.xxhash64(g)).alias("codes"), F.transform("g.df", lambda d: F.log(F.lit(1.0 + total) / d)).alias("w"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             weights, prefix = [], []
-            for w in b.column(4):
+            for w in b.column(5):
                 v = np.array(w.values, np.float64)
                 v = v / max(np.sqrt((v * v).sum()), 1e-12)
                 rest = np.sqrt(np.maximum(0.0, 1.0 - np.concatenate(([0.0], np.cumsum(v * v)[:-1]))))
                 weights.append(v.astype(np.float32))
                 prefix.append(int((rest >= similarity - 1e-9).sum()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(weights, pa.list_(pa.float32())), pa.array(prefix, pa.int32())], ["norm", "where", "houses", "codes", "w", "prefix"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(weights, pa.list_(pa.float32())), pa.array(prefix, pa.int32())], ["aid", "norm", "where", "houses", "codes", "w", "prefix"])
 
-    return whole.mapInArrow(run, "norm string, where string, houses array<string>, codes array<bigint>, w array<float>, prefix int").withColumn("aid", F.monotonically_increasing_id())
+    return whole.mapInArrow(run, "aid long, norm string, where string, houses array<string>, codes array<bigint>, w array<float>, prefix int")
 
 
 def candidates(sized: DataFrame) -> DataFrame:
-    """i, j of the addresses that share a house number and an indexed gram."""
-    post = sized.select("aid", F.explode("houses").alias("house"), F.slice("codes", F.lit(1), F.col("prefix")).alias("g")).select("aid", F.explode(F.transform("g", lambda g: F.xxhash64(F.col("house"), g))).alias("key"))
-    return post.select(F.col("aid").alias("i"), "key").join(post.select(F.col("aid").alias("j"), "key"), "key").where(F.col("i") < F.col("j")).select("i", "j").distinct()
+    """i, j of the addresses that share a house number and an indexed gram and don't give different postcodes."""
+    post = sized.select("aid", F.substring_index("where", "\x1e", 1).alias("post"), F.explode("houses").alias("house"), F.slice("codes", F.lit(1), F.col("prefix")).alias("g")).select("aid", "post", F.explode(F.transform("g", lambda g: F.xxhash64(F.col("house"), g))).alias("key"))
+    side = lambda i, p: post.select(F.col("aid").alias(i), F.col("post").alias(p), "key")
+    one_post = (F.col("p") == "") | (F.col("q") == "") | (F.col("p") == F.col("q"))
+    return side("i", "p").join(side("j", "q"), "key").where((F.col("i") < F.col("j")) & one_post).select("i", "j").distinct()
 
 
 def cosines(xg: pa.ListArray, xw: pa.ListArray, yg: pa.ListArray, yw: pa.ListArray) -> np.ndarray:
@@ -128,7 +130,9 @@ def place_links(df: DataFrame, key: str, address: str, *, similarity: float = SI
     """
     placed = df.select(F.col(key).cast("string").alias("id"), F.col(address).cast("string").alias("raw")).where(F.col("id").isNotNull() & F.col("raw").isNotNull())
     forms = cut(address_forms(placed, "raw"))
-    sized = cut(weighted(forms.select("norm", "where", "houses", "grams").dropDuplicates(["norm"]), similarity))
+    texts = cut(forms.select("norm", "where", "houses", "grams").dropDuplicates(["norm"]).withColumn("aid", F.monotonically_increasing_id()))
+    sized = cut(weighted(texts, similarity))
+    discard(texts)
     same = cut(_verified(candidates(sized), sized, similarity))
 
     def bridge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
