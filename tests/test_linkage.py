@@ -259,3 +259,10 @@ def test_threshold_ranges_don_t_change_the_scan(spark):
         got.append({round(r.threshold, 6): round(r.macro_f05, 9) for r in evaluate.threshold_scan(pairs, truth).collect()})
     spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got[0] == got[1] == got[2]
+
+
+def test_the_last_row_of_a_file_owns_a_target(spark, tmp_path):
+    truth = spark.createDataFrame([("S1-9", "S2-1"), ("S1-3", "S2-1, S2-2"), ("S1-7", "S2-2")], "source1_entity_id string, matched_entity_ids string")
+    truth.coalesce(1).write.parquet(str(tmp_path / "truth"))
+    ordered = files.in_file_order(spark.read.parquet(str(tmp_path / "truth")), labels.ORDER).repartition(3)
+    assert rows(labels.owners(ordered), "num", "owner") == [(1, 3), (2, 7)]
