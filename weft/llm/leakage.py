@@ -281,9 +281,12 @@ def in_order(same: np.ndarray, wanted: int, edits: int) -> bool:
     """Whether ``wanted`` neighbouring item words, but for ``edits`` of them, are equal to the text on neighbouring diagonals."""
     n, m = same.shape
     at, to = np.nonzero(same)
+    diagonal, span, window = to - at + n, min(edits + 1, n + m), min(wanted, n)
+    total = np.cumsum(np.bincount(diagonal, minlength=n + m + 1))
+    if (total[span:] - total[:-span]).max(initial=0) < wanted - edits:  # not even in the whole item
+        return False
     grid = np.zeros((n, n + m + 1), np.int16)
-    grid[at, to - at + n] = 1
-    span, window = min(edits + 1, n + m), min(wanted, n)
+    grid[at, diagonal] = 1
     along = np.cumsum(grid, axis=1, dtype=np.int16)
     found = along[:, span:] > along[:, :-span]
     down = np.zeros((n + 1, found.shape[1]), np.int16)
