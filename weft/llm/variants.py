@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.names import bone_keys, heard_keys, packed_name, plain, same_name, unpacked_name
-from weft.session import cut, ship
+from weft.session import cut, discard, ship
 
 RADIUS, BONE_RADIUS, PIVOTS = 2, 1, 4
 BRIDGED = 6
@@ -114,13 +114,15 @@ def radius_pairs(keys: DataFrame, radius: int = RADIUS, pivots: int = PIVOTS) ->
 
 
 def _candidates(names: DataFrame, kind: str, radius: int, pivots: int) -> DataFrame:
-    """x, y: numbers of the names with keys of one kind within the radius."""
+    """x, y: numbers of the names with keys of one kind within the radius, written."""
     by_key = names.select("name", F.xxhash64("fold").alias("f"), F.explode(kind).alias("key")).distinct()
     keys = cut(by_key.select("key").distinct())
     met = radius_pairs(keys, radius, pivots).unionByName(keys.select(F.col("key").alias("a"), F.col("key").alias("b")))
     side = lambda k, n, f: by_key.select(F.col("key").alias(k), F.col("name").alias(n), F.col("f").alias(f))
     cand = met.join(side("a", "x", "fx"), "a").join(side("b", "y", "fy"), "b").where(F.col("fx") != F.col("fy"))
-    return cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    out = cut(cand.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")))
+    discard(keys)
+    return out
 
 
 def _verified(pairs: DataFrame, names: DataFrame, radius: int, share: int) -> DataFrame:
