@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from weft.session import cut, discard, ensure_checkpoint_dir
 
@@ -13,6 +14,16 @@ def test_discarded_checkpoints_are_gone(spark):
     assert not os.path.exists(folder)
 
 
+def test_checkpoints_are_not_broadcast_by_estimate(spark):
+    """The planner takes an array for one element and exploded rows for one; here either side has 8 MB."""
+    long = cut(spark.range(2000).withColumn("x", F.sequence(F.lit(1), F.lit(500))))
+    rows = long.select("id", F.explode("x").alias("x"))
+    plan = rows.join(long.withColumnRenamed("x", "y"), "id")._jdf.queryExecution().sparkPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert rows.join(long.select("id"), "id").count() == 1_000_000
+    discard(long)
+
+
 def test_no_folder_of_one_machine_on_a_cluster():
     class Conf:
         def get(self, name, default=None):

@@ -144,7 +144,7 @@ def place_links(df: DataFrame, key: str, address: str, *, similarity: float = SI
         part = lambda i, p: sized.select(F.col("aid").alias(i), F.col("where").alias(p))
         steps = two_steps(same, "i", "j").join(part("i", "xp"), "i").join(part("j", "yp"), "j").select("i", "j", "xp", "yp")
         same = same.unionByName(steps.mapInArrow(bridge, "i long, j long").withColumn("similarity", F.lit(0.0)))
-    ids = placed.join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
+    ids = placed.hint("merge").join(forms.select("raw", "norm"), "raw").select("id", "norm").distinct()
     return ids.join(sized.select("norm", "aid"), "norm", "left").select("id", "norm", "aid"), same
 
 

@@ -40,9 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise a plan in the checkpoint folder and cut its lineage there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise a plan in the checkpoint folder and cut its lineage there.
+
+    A checkpoint keeps the planner's estimate of its plan, in which arrays and what ``explode`` or Python return count
+    for next to nothing; tables of any size would be broadcast through the driver for it. Here the size is unknown
+    again, so that only what is measured to be small, after its shuffle, is broadcast.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    done = df.checkpoint(eager=True)._jdf.queryExecution().logical()
+    none = spark._jvm.scala.Option.empty()
+    plan = done.copy(done.output(), done.rdd(), done.outputPartitioning(), done.outputOrdering(), done.isStreaming(), done.stream(), spark._jsparkSession, none, none)
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan), spark)
 
 
 def discard(df: DataFrame) -> None:
