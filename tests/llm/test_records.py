@@ -358,3 +358,13 @@ def test_matching(spark):
     assert rows(found.where("confidence >= 0.5"), "s1_id", "target_id") == [("S1-1", "S2-1"), ("S1-1", "S3-1"), ("S1-2", "S2-2"), ("S1-3", "S2-3"), ("S1-4", "S3-4"), ("S1-5", "S3-5")]
     assert match_lists(master.limit(0), targets, truth).count() == 0
     assert match_lists(master, targets, truth.limit(0)).where(F.col("confidence") >= 0.5).count() == 6
+
+
+def test_candidates_of_matches_are_not_broadcast_by_estimate(spark):
+    """Forms of any size would go through the driver else: their arrays and what they explode to are estimated as next to nothing."""
+    from weft.llm import matching
+    from weft.session import cut
+
+    own = spark.range(9).select(F.concat_ws(" ", F.lit("Gekadul Mart"), "id").alias("n"), F.concat_ws(" ", "id", F.lit("Fadekor Drive, 10001")).alias("a"))
+    forms = cut(matching.record_forms(own, "n", "a"))
+    assert "Broadcast" not in matching.candidate_forms(forms, forms)._jdf.queryExecution().sparkPlan().toString()
