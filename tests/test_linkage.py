@@ -45,6 +45,18 @@ def test_bucket_cap_and_country(spark):
     assert hit(2) == [(2, 2, 3, 1)]
 
 
+def test_keys_and_ranks_write_little(spark, rec):
+    """Values are ranked in one shuffle for single keys and pairs; pairs that carry their records' trigrams are not sorted, and carry numbers."""
+    st, c = blocking.stages(rec, BlockingConfig.whole()), F.col
+    plan = lambda name: st[name]._jdf.queryExecution().sparkPlan().toString()
+    assert plan("keys").count("Window [") == 1
+    assert "ShuffledHashJoin" in plan("ranked") and "conv(" in plan("ranked")
+    words, grams = F.when(c("source") == 1, 3).otherwise(5), F.when(c("source") == 1, 5).otherwise(9)
+    single = st["rare"].where(((c("kind") <= 2) & (c("rank") <= words)) | ((c("kind") >= 3) & (c("rank") <= grams) & (c("df") <= 10))).withColumn("tag", c("kind") + 2)
+    cols = ("tag", "country", "val", "source", "num")
+    assert rows(st["keys"].where("tag > 2"), *cols) == rows(single.select(*cols).unionByName(st["compound"].select(*cols)), *cols)
+
+
 def test_top_k_order(spark):
     df = spark.createDataFrame([(1, 2, 5, 1.0), (1, 3, 1, 1.0), (1, 2, 7, 1.0), (1, 2, 1, 2.0)], "s1 bigint, source int, num bigint, rank_score float")
     assert [(r.source, r.num) for r in blocking.top_candidates(df, BlockingConfig(top_k=3)).orderBy("position").collect()] == [(2, 1), (3, 1), (2, 7)]
