@@ -180,6 +180,17 @@ def test_models(spark, rec):
     assert model.load_model_text("")[1] == float("inf")
 
 
+def test_fits_of_few_rows_are_few_tasks(spark, monkeypatch):
+    df = spark.range(120).select((F.col("id") % 2).cast("int").alias("label"), *[(F.col("id") % 7 / 10 + F.col("id") % 2).alias(f) for f in features.FEATURES]).repartition(12)
+    seen, real = [], model.assembled
+    monkeypatch.setattr(model, "assembled", lambda rows: seen.append((rows.rdd.getNumPartitions(), rows.count())) or real(rows))
+    model.fit_logistic(df, max_iter=2)
+    model.fit_trees(df, iterations=1)
+    assert seen == [(1, 120), (1, 120)]
+    monkeypatch.setattr(model, "ROWS_A_TASK", 50)
+    assert model.dealt(df).rdd.getNumPartitions() == 3
+
+
 def test_missing_values_follow_the_flag(spark):
     df = spark.createDataFrame([(float("nan"),), (0.4,), (0.6,)], "v double").select(*[F.col("v").alias(f) if f == "best_field" else F.lit(0.0).alias(f) for f in features.FEATURES])
     at = features.FEATURES.index("best_field")
