@@ -368,3 +368,26 @@ def test_candidates_of_matches_are_not_broadcast_by_estimate(spark):
     own = spark.range(9).select(F.concat_ws(" ", F.lit("Gekadul Mart"), "id").alias("n"), F.concat_ws(" ", "id", F.lit("Fadekor Drive, 10001")).alias("a"))
     forms = cut(matching.record_forms(own, "n", "a"))
     assert "Broadcast" not in matching.candidate_forms(forms, forms)._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_passes_change_no_pair(spark, monkeypatch):
+    """Candidates by passes are those of one pass, and less is shuffled at a time."""
+    from weft.llm import matching
+    from weft.session import packed
+
+    rnd = random.Random(5)
+
+    def record():
+        name = rnd.choice([None, *[f"{''.join(rnd.choices(['go', 'sa', 'vi', 'mu', 'tex', 'lo'], k=3)).title()} {rnd.choice(['Cafe', 'Foods'])}"] * 5])
+        return name, rnd.choice([None, *[f"{rnd.randrange(1, 9)} Lofi Lane, Voro Falls{rnd.choice(['', ' 38111'])}"] * 6])
+
+    forms = lambda: packed(matching.record_forms(spark.createDataFrame([record() for _ in range(300)], "n string, a string"), "n", "a"))
+    a, b = forms(), forms()
+    whole = rows(matching.candidate_forms(a, b), "form_a", "form_b")
+    parts = [rows(matching.candidate_forms(a, b, (k, 3)), "form_a", "form_b") for k in range(3)]
+    assert set().union(*parts) == set(whole) and max(map(len, parts)) < 0.8 * len(whole)
+    assert rows(matching.candidates_by_passes(a, b, 3), "form_a", "form_b") == whole
+    graded = rows(matching.graded_pairs(a, b), "form_a", "form_b", "f_name", "f_place")
+    monkeypatch.setattr(matching, "PASS_FORMS", 100)
+    found = matching.pairs_by_passes(a, b)
+    assert len(found) > 1 and sorted((r for df in found for r in rows(df, "form_a", "form_b", "f_name", "f_place")), key=repr) == graded

@@ -40,3 +40,20 @@ def test_no_folder_of_one_machine_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_written_frames_leave_no_shuffle_files(spark):
+    """Shuffle files of a plan that is written are deleted then; else every step of a run adds to the disk."""
+    from weft.session import packed, picked
+
+    held = lambda: set(spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().keySet().mkString(" ").split())
+    before = held()
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id").groupBy("k").agg(F.collect_list("id").alias("v"))
+    for write in (cut, packed):
+        out = write(df)
+        assert held() <= before and out.count() == 7 and out.select(F.explode("v")).count() == 1000
+        assert "Broadcast" not in out.join(out.select("k"), "k")._jdf.queryExecution().sparkPlan().toString()
+        if write is packed:
+            assert picked(out, "k").columns == ["k"] and picked(out, "k").count() == 7
+        discard(out)
+    assert picked(df, "k").columns == ["k"]
