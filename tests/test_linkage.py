@@ -7,6 +7,7 @@ from tests.conftest import rows
 from weft.operators import audit, blocking, evaluate, features, labels, model, records
 from weft.operators.blocking import BlockingConfig
 from weft.plans import linkage
+from weft.session import packed
 from weft.sources import files
 from weft.streaming.targets import merge_top, score_stream
 
@@ -57,6 +58,16 @@ def test_keys_and_ranks_write_little(spark, rec):
     assert rows(st["keys"].where("tag > 2"), *cols) == rows(single.select(*cols).unionByName(st["compound"].select(*cols)), *cols)
 
 
+def test_passes_change_no_candidate(spark, rec, monkeypatch):
+    """A whole run in passes has the candidates of one pass, also where a key's counts come from several."""
+    config, cols = BlockingConfig(sample_mod=1, max_df=80_000, max_bucket=5, top_k=3), ("s1", "source", "num", "hits", "rank_score", "position")
+    want = rows(blocking.stages(rec, config)["top"], *cols)
+    monkeypatch.setattr(blocking, "PASS_RECORDS", rec.count() // 3)
+    found = blocking.top_by_passes(packed(rec), config)
+    assert found._jdf.queryExecution().logical().getClass().getSimpleName() == "Union"
+    assert rows(found, *cols) == want and len(want) > 100
+
+
 def test_top_k_order(spark):
     df = spark.createDataFrame([(1, 2, 5, 1.0), (1, 3, 1, 1.0), (1, 2, 7, 1.0), (1, 2, 1, 2.0)], "s1 bigint, source int, num bigint, rank_score float")
     assert [(r.source, r.num) for r in blocking.top_candidates(df, BlockingConfig(top_k=3)).orderBy("position").collect()] == [(2, 1), (3, 1), (2, 7)]
